@@ -33,6 +33,7 @@ def local_session(cores: int | str = 8, memory: str = "12g", shuffle_partitions:
         .appName("ledgerline")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ledgerline-warehouse-"))
     )
