@@ -12,6 +12,9 @@ from ledgerline.spec import Column as SpecColumn
 STAMP_PATTERN = r"_(\d{8}_\d{4})\.[^./]+$"
 MONTH_PATTERN = r"year_month=([^/]+)/"
 
+#: A snapshot delivered as a folder of parts: the part name is not part of it.
+PART_PATTERN = r"(_\d{8}_\d{4}\.[^./]+)/[^/]+$"
+
 STAMP_FORMAT = "yyyyMMdd_HHmm"
 
 
@@ -42,6 +45,11 @@ def typed(column: SpecColumn) -> Column:
     return value.alias(column.name)
 
 
+def snapshot_path(path: Column) -> Column:
+    """Path of the snapshot a file belongs to: itself, or its folder of parts."""
+    return F.regexp_replace(path, PART_PATTERN, "$1")
+
+
 def file_stamp(path: Column) -> Column:
     """Download stamp ``YYYYMMDD_HHmm`` at the end of a file name."""
     return F.regexp_extract(path, STAMP_PATTERN, 1)

@@ -73,7 +73,9 @@ def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
 def same_bytes(spark: SparkSession, left: str, right: str) -> bool:
     """Whether two text files are equal byte for byte."""
     files = spark.read.format("binaryFile")
-    sizes = [files.load(path).select("length").first()["length"] for path in (left, right)]
+    sizes = [[r["length"] for r in files.load(path).select("length").collect()] for path in (left, right)]
+    if any(len(s) != 1 for s in sizes):
+        raise ValueError("Byte equality is defined for single files")
     if sizes[0] != sizes[1]:
         return False
     return row_differences(_placed_lines(spark, left), _placed_lines(spark, right)).isEmpty()

@@ -1,6 +1,9 @@
 """Raw layer: text snapshots exactly as received.
 
     <root>/<source>/<table>/year_month=<YYYY-MM>/<table>_<YYYYMMDD_HHmm>.csv
+
+A large export may be a folder of that name with its parts in it, each with
+the header line.
 """
 
 from __future__ import annotations
@@ -9,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.parse import file_month, file_stamp, stamp_time
+from ledgerline.functions.parse import file_month, file_stamp, snapshot_path, stamp_time
 from ledgerline.sources.files import listing
 from ledgerline.spec import RAW_FILENAME, RAW_TIMESTAMP, RAW_YEAR_MONTH, DatasetSpec
 
@@ -23,11 +26,11 @@ def folder(root: str, spec: DatasetSpec) -> str:
 
 def snapshot_files(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     """(file, year_month, stamp, time) of every raw file, from the listing."""
-    files = listing(spark, folder(root, spec), "*.csv").select(F.col("path").alias("file"))
+    files = listing(spark, folder(root, spec), "*.csv").select(snapshot_path(F.col("path")).alias("file"))
     stamp = file_stamp(F.col("file"))
     return files.select(
         "file", file_month(F.col("file")).alias("year_month"), stamp.alias("stamp"), stamp_time(stamp).alias("time")
-    )
+    ).distinct()
 
 
 def list_snapshots(files: DataFrame) -> DataFrame:
@@ -60,7 +63,7 @@ def read_files(
         multiline = has_quoted_line_breaks(spark, paths)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     rows = spark.read.options(**_CSV, multiLine=multiline).schema(schema).csv(paths)
-    path = F.col("_metadata.file_path")
+    path = snapshot_path(F.col("_metadata.file_path"))
     return rows.select(
         *[F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names],
         path.alias(RAW_FILENAME),
