@@ -57,6 +57,7 @@ def capture_changes(
     snapshots: DataFrame | None = None,
     by: tuple[str, ...] = BY_FILE,
     deletions_repeat: str | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """Change rows of *observations* on top of what *log* already holds.
 
@@ -70,7 +71,8 @@ def capture_changes(
     and the last log row otherwise; *deletions_repeat* overrides that.
 
     Only key, data and the snapshot number cross the one shuffle; names and
-    times of snapshots are joined to the emitted rows.
+    times of snapshots are joined to the emitted rows. Rows that are already
+    *clustered* (tables bucketed on the key) cross none.
     """
     repeat = deletions_repeat or (FROM_OBSERVATION if log is None else FROM_LOG)
     if repeat not in (FROM_OBSERVATION, FROM_LOG):
@@ -87,9 +89,9 @@ def capture_changes(
 
     # the window below reuses this partitioning; the digest is computed on its
     # far side, spread evenly and not part of the shuffle
-    rows = rows.repartition(*spec.keys).withColumn(
-        _DIGEST, F.unhex(row_digest(spec.schema, spec.digest_columns))
-    )
+    if not clustered:
+        rows = rows.repartition(*spec.keys)
+    rows = rows.withColumn(_DIGEST, F.unhex(row_digest(spec.schema, spec.digest_columns)))
     key = Window.partitionBy(*spec.keys).orderBy(*order)
     seq, digest = F.col(SEQ), F.col(_DIGEST)
     prev_seq, next_seq = F.col("__prev_seq"), F.col("__next_seq")
@@ -164,9 +166,10 @@ def full_replay(
     observations: DataFrame,
     snapshots: DataFrame | None = None,
     by: tuple[str, ...] = BY_FILE,
+    clustered: bool = False,
 ) -> DataFrame:
     """Change log of every snapshot, oldest first, in one pass."""
-    return capture_changes(spec, observations, snapshots=snapshots, by=by)
+    return capture_changes(spec, observations, snapshots=snapshots, by=by, clustered=clustered)
 
 
 def incremental_changes(
@@ -189,6 +192,36 @@ def incremental_changes(
     return capture_changes(spec, observations, log=log, snapshots=snapshots, by=by)
 
 
+def step_changes(
+    spec: DatasetSpec, incoming: DataFrame, log: DataFrame, file: Column, time: Column
+) -> DataFrame:
+    """Changes of one snapshot as one full outer join with the live state.
+
+    The same rows as ``capture_changes`` for a snapshot with unique keys. Worth
+    it where both sides are bucketed on the key: neither is then shuffled.
+    """
+    live = current_state(spec, log).where(~F.col(LOG_DELETED))
+    old = live.select(*[F.col(f"`{n}`").alias(f"old_{n}") for n in spec.names], F.col(LOG_MD5).alias("__old_digest"))
+    new = with_digest(spec, incoming.select(*spec.names))
+    same_key = [new[k] == old[f"old_{k}"] for k in spec.keys]
+    condition = same_key[0]
+    for other in same_key[1:]:
+        condition = condition & other
+    gone = F.col(STD_MD5).isNull()
+    return (
+        new.join(old, condition, "full_outer")
+        .where(gone | F.col("__old_digest").isNull() | (F.col("__old_digest") != F.col(STD_MD5)))
+        .select(
+            *[F.when(gone, F.col(f"`old_{n}`")).otherwise(F.col(f"`{n}`")).alias(n) for n in spec.names],
+            F.coalesce(STD_MD5, "__old_digest").alias(LOG_MD5),
+            time.alias(LOG_TIMESTAMP),
+            F.lit(spec.code).alias(LOG_DATASOURCE),
+            file.alias(LOG_SOURCEFILE),
+            gone.alias(LOG_DELETED),
+        )
+    )
+
+
 def current_state(spec: DatasetSpec, log: DataFrame) -> DataFrame:
     """Latest log row of every key, deletions included.
 

@@ -30,22 +30,20 @@ def hook_join(
     hook: str,
     how: str = "left",
     right_hook: str | None = None,
+    hot: list | None = None,
     splits: int = 32,
-    share: int = HOT_SHARE,
-    at_least: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join on a hook; NULL hooks never match.
 
-    A hook value shared by a large part of *left* (one operator of most
-    fields), and the rows without a hook, would fill single tasks. Their rows
-    are spread over *splits* salts; only the right rows of hot values are
-    repeated, once per salt. Other values join as they are. The result keeps
-    every column of both sides.
+    Rows without a hook would all land in one task of an outer join; they are
+    spread over *splits* salts. A value that most rows share (one operator of
+    most fields) is split by AQE at run time; values given as *hot* (see
+    ``hot_values``) are salted as well, and only their right rows are repeated,
+    once per salt. The result keeps every column of both sides.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"Unknown hook join '{how}'")
     other = right_hook or hook
-    hot = hot_values(left, hook, share, at_least)
 
     def is_hot(column: Column) -> Column:
         return column.isin(hot) if hot else F.lit(False)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.spec import STD_FILENAME, STD_TIMESTAMP
 
@@ -32,18 +35,32 @@ def number_snapshots(snapshots: DataFrame) -> DataFrame:
     return snapshots.withColumn(SEQ, F.row_number().over(order))
 
 
-def broadcast_if_short(df: DataFrame, limit: int) -> tuple[DataFrame, int | None]:
-    """*df* as a local relation behind a broadcast hint, and its row count, if
-    it has at most *limit* rows; otherwise *df* itself, without a hint."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df, None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), len(rows)
+def local_relation(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as a relation that lives in the plan: its size is known and
+    reading it takes no job."""
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    arrays = [
+        pa.array(values, type=field.type)
+        for values, field in zip(columns, to_arrow_schema(schema), strict=True)
+    ]
+    return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
 
 
 def numbered_snapshots(
     observations: DataFrame, snapshots: DataFrame | None = None, by: tuple[str, ...] = BY_FILE
 ) -> tuple[DataFrame, int | None]:
-    """The numbered snapshot list, broadcast with its length if it is short."""
+    """The numbered snapshot list; broadcast, with its length, if it is short."""
     listed = distinct_snapshots(observations, by) if snapshots is None else snapshots
-    return broadcast_if_short(number_snapshots(listed), BROADCAST_SNAPSHOTS)
+    fields = {n: listed.schema[n] for n in (*by, STD_FILENAME, STD_TIMESTAMP)}
+    instants = [n for n, f in fields.items() if isinstance(f.dataType, T.TimestampType)]
+    # instants travel as microseconds: Python would read them in its own time zone
+    plain = listed.select(*fields).withColumns({n: F.unix_micros(n) for n in instants})
+    rows = plain.limit(BROADCAST_SNAPSHOTS + 1).collect()
+    if len(rows) > BROADCAST_SNAPSHOTS:
+        return number_snapshots(listed.select(*fields)), None
+    rows.sort(key=lambda r: (r[STD_TIMESTAMP], r[STD_FILENAME]))
+    schema = T.StructType([*plain.schema.fields, T.StructField(SEQ, T.IntegerType())])
+    numbered = local_relation(
+        listed.sparkSession, [(*row, seq) for seq, row in enumerate(rows, start=1)], schema
+    ).withColumns({n: F.timestamp_micros(n) for n in instants})
+    return F.broadcast(numbered), len(rows)

@@ -26,7 +26,7 @@ from ledgerline.operators.changes import (
     empty_log,
     incremental_changes,
 )
-from ledgerline.operators.joins import hook_join
+from ledgerline.operators.joins import hook_join, hot_values
 from ledgerline.plans.registry import query
 from ledgerline.plans.series import (
     BY,
@@ -37,10 +37,12 @@ from ledgerline.plans.series import (
     replay,
     snapshot_list,
     snapshot_rows,
+    spread,
     table,
 )
 from ledgerline.sources import log as log_layer
 from ledgerline.sources import std as std_layer
+from ledgerline.sources import tables
 from ledgerline.session import work_folder
 from ledgerline.streaming.continuous import continuous_load
 
@@ -51,6 +53,10 @@ SNAPSHOTS = 4
 
 def series_sql(series: Series, count: int = SNAPSHOTS) -> str:
     """Relation ``obs``: rows of every snapshot with digest and seq."""
+    base = series.base
+    if series.aggregates:
+        keys = ", ".join(series.spec.keys)
+        base = f"(SELECT {keys}, {', '.join(series.aggregates)} FROM {series.base} GROUP BY {keys})"
     digest = ", ".join(f"coalesce({c}::VARCHAR, '')" for c in series.spec.digest_columns)
     return f"""obs AS (
         SELECT *, md5(concat_ws(chr(31), {digest})) AS md5
@@ -60,7 +66,7 @@ def series_sql(series: Series, count: int = SNAPSHOTS) -> str:
                     + floor((({series.number}) % 13 + seq) / 5.0)::DECIMAL(18,2))::DECIMAL(18,2) AS balance,
                    seq AS sync_no, seq
             FROM (SELECT *, unnest([{', '.join(str(i) for i in range(1, count + 1))}])::INTEGER AS seq
-                  FROM {series.base})
+                  FROM {base})
             WHERE (({series.number}) * 7 + seq * 3) % 11 <> 0
         )
     )"""
@@ -142,7 +148,7 @@ def frame_sql(series: Series, hooks: str = "") -> str:
        FROM lineitem""",
 )
 def row_digest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    rows = spread(table(spark, sf_dir, "lineitem")).withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
     names = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", row_digest(rows.schema, names).alias("digest")
@@ -347,7 +353,7 @@ def hook_dev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _production(spark: SparkSession, sf_dir: str, name: str, key: list[str], value: str, encoding: str) -> DataFrame:
     hook = production_hook(F.lit(bytearray(KEY_SET_BINARY)), F.expr(value), encoding)
-    return table(spark, sf_dir, name).select(*key, F.hex(hook).alias("hook"))
+    return spread(table(spark, sf_dir, name)).select(*key, F.hex(hook).alias("hook"))
 
 
 @query("hook_prod_int", "SELECT o_orderkey, '140102' || printf('%08X', o_custkey) AS hook FROM orders")
@@ -427,7 +433,8 @@ def hook_join_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     right = table(spark, sf_dir, "supplier").select(
         production_hook(prefix, F.col("s_suppkey"), INTEGER).alias("HK_SUPPLIER"), "s_name"
     )
-    joined = hook_join(left, right, "HK_SUPPLIER__Seller", right_hook="HK_SUPPLIER", at_least=1000)
+    hot = hot_values(left, "HK_SUPPLIER__Seller", at_least=1000)
+    joined = hook_join(left, right, "HK_SUPPLIER__Seller", right_hook="HK_SUPPLIER", hot=hot)
     return joined.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "s_name")
 
 
@@ -486,6 +493,35 @@ def continuous_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stable_log(log_layer.read(spark, f"{root}/lake", CUSTOMER.spec), CUSTOMER)
 
 
+BUCKETS = 8
+
+
+def _clustered_std(spark: SparkSession, sf_dir: str, series: Series) -> tuple[str, str]:
+    """A Std table bucketed on the key, and the name prefix of its snapshots."""
+    root = work_folder(spark, "clustered")
+    name = "ledgerline_" + root.rsplit("-", 1)[-1]
+    tables.create_std(spark, name, series.spec, BUCKETS, f"{root}/std")
+    tables.write_clustered(_partitioned(spark, sf_dir, series), name, series.spec.keys, BUCKETS)
+    return name, "std"
+
+
+@query("clustered_replay", f"WITH {log_sql(ORDERS)} SELECT {log_columns_sql(ORDERS)} FROM log")
+def clustered_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full replay of a bucketed Std table: no shuffle of the history."""
+    name, root = _clustered_std(spark, sf_dir, ORDERS)
+    return tables.replay_table(spark, name, root, ORDERS.spec)
+
+
+@query("clustered_step", step_sql(ORDERS))
+def clustered_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last snapshot against a bucketed log of the ones before."""
+    name, root = _clustered_std(spark, sf_dir, ORDERS)
+    log, last = f"{name}_log", f"2026{SNAPSHOTS:02d}01_1000"
+    tables.create_log(spark, log, ORDERS.spec, BUCKETS, f"{work_folder(spark, 'clustered-log')}/log")
+    tables.write_log(replay(spark, sf_dir, ORDERS, SNAPSHOTS - 1), log, ORDERS.spec, BUCKETS)
+    return tables.step_table(spark, name, log, root, ORDERS.spec, last)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current customers with their development hook, from a replay of four snapshots."""
     log = replay(spark, sf_dir, CUSTOMER)

@@ -11,7 +11,7 @@ from ledgerline.operators import checks
 from ledgerline.operators.equality import row_differences
 from ledgerline.operators.flatten import Structure, flatten, parse_json
 from ledgerline.plans.registry import query
-from ledgerline.plans.series import ORDERS, snapshot_rows, table
+from ledgerline.plans.series import ORDERS, snapshot_rows, spread, table
 from ledgerline.plans.history_queries import series_sql
 from ledgerline.sources import metadata, raw, state, std
 from ledgerline.spec import BLANK, DATE, FLAG, RAW_FILENAME, Column
@@ -26,7 +26,7 @@ from ledgerline.spec import BLANK, DATE, FLAG, RAW_FILENAME, Column
 )
 def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text rows through the declared types, dates and flags."""
-    text = table(spark, sf_dir, "lineitem").select(
+    text = spread(table(spark, sf_dir, "lineitem")).select(
         *[F.col(c).cast("string").alias(c) for c in (
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag",
         )],
@@ -576,7 +576,7 @@ RECORD_SCHEMA = (
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with two marks in their JSON, each with as many notes as its weight says."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     k = F.get_json_object("props", "$.k").cast("bigint")
 
     def mark(name: str, weight: SparkColumn) -> SparkColumn:

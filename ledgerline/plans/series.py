@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.changes import full_replay
+from ledgerline.operators.snapshots import local_relation
 from ledgerline.spec import STD_FILENAME, STD_TIMESTAMP, Column, DatasetSpec
 
 SOURCE = "star"
@@ -28,6 +29,8 @@ class Series:
     number: str
     moving: str
     select: tuple[str, ...]
+    #: Aggregates per key, for a table whose key repeats.
+    aggregates: tuple[str, ...] = ()
 
     def file(self, month: str, stamp: str) -> str:
         return f"std/{self.spec.source}/{self.spec.table}/year_month={month}/{self.spec.code}_{stamp}.parquet"
@@ -76,31 +79,36 @@ ORDERS = Series(
     select=("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "CAST(o_orderdate AS date) AS o_orderdate"),
 )
 
-# (l_orderkey, l_linenumber) repeats in the data; these four columns do not
+# (l_orderkey, l_linenumber) repeats in the data; a snapshot row sums them up
 LINEITEM = Series(
     spec=DatasetSpec(
         source=SOURCE,
         table="lineitem",
-        keys=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+        keys=("l_orderkey", "l_linenumber"),
         volatile=("sync_no",),
         columns=(
             Column("l_orderkey", "bigint"),
             Column("l_linenumber", "int"),
-            Column("l_partkey", "bigint"),
-            Column("l_suppkey", "bigint"),
-            Column("l_returnflag"),
-            Column("l_linestatus"),
-            Column("l_shipdate", "date"),
+            Column("parts", "bigint"),
+            Column("first_part", "bigint"),
+            Column("returnflag"),
+            Column("linestatus"),
+            Column("shipped", "date"),
             Column("balance", "decimal(18,2)"),
             Column("sync_no", "int"),
         ),
     ),
     base="lineitem",
-    number="(l_orderkey + l_linenumber * 5 + l_partkey)",
-    moving="l_extendedprice",
-    select=(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
-        "CAST(l_shipdate AS date) AS l_shipdate",
+    number="(l_orderkey + l_linenumber * 5)",
+    moving="amount",
+    select=("l_orderkey", "l_linenumber", "parts", "first_part", "returnflag", "linestatus", "shipped"),
+    aggregates=(
+        "count(*) AS parts",
+        "min(l_partkey) AS first_part",
+        "max(l_returnflag) AS returnflag",
+        "max(l_linestatus) AS linestatus",
+        "max(CAST(l_shipdate AS date)) AS shipped",
+        "sum(CAST(l_extendedprice AS decimal(18,2))) AS amount",
     ),
 )
 
@@ -133,7 +141,7 @@ def snapshot_list(spark: SparkSession, series: Series, count: int) -> DataFrame:
             T.StructField(STD_TIMESTAMP, T.TimestampType()),
         ]
     )
-    return spark.createDataFrame(rows, schema)
+    return local_relation(spark, rows, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,7 +161,11 @@ def snapshot_rows(spark: SparkSession, sf_dir: str, series: Series, count: int =
     rises by ``floor((number % 13 + seq) / 5)``; ``sync_no`` is the volatile
     column.
     """
-    base = spread(table(spark, sf_dir, series.base))
+    base = table(spark, sf_dir, series.base)
+    if series.aggregates:
+        base = base.groupBy(*series.spec.keys).agg(*[F.expr(e) for e in series.aggregates])
+    else:
+        base = spread(base)
     seq = F.explode(F.array(*[F.lit(i) for i in range(1, count + 1)])).alias("seq")
     number = F.expr(series.number)
     step = F.floor((number % 13 + F.col("seq")) / F.lit(5.0))

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ledgerline import catalog
 from ledgerline.functions.hooks import ENCODINGS, Hook, hook_column, key_set, key_set_binary
 from ledgerline.functions.parse import blank_to_null
+from ledgerline.operators.snapshots import local_relation
 from ledgerline.operators.checks import duplicates, listed, missing_parents, mixed_values
 
 # Columns of the metadata files and the patterns of their codes.
@@ -46,7 +47,7 @@ def from_text(spark: SparkSession, name: str, text: str) -> DataFrame:
     rows = [
         tuple(row.get(c) or None for c in COLUMNS[name]) for row in csv.DictReader(io.StringIO(text))
     ]
-    return spark.createDataFrame(rows, T.StructType([T.StructField(c, T.StringType()) for c in COLUMNS[name]]))
+    return local_relation(spark, rows, T.StructType([T.StructField(c, T.StringType()) for c in COLUMNS[name]]))
 
 
 def scan(spark: SparkSession, path: str, name: str) -> DataFrame:

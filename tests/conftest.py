@@ -10,6 +10,6 @@ from ledgerline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=8, memory="8g", shuffle_partitions=4)
+    session = local_session(cores=4, memory="8g", shuffle_partitions=2)
     yield session
     session.stop()
