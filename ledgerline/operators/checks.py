@@ -37,8 +37,8 @@ def column_drift(expected: DataFrame, actual: DataFrame, group: str, name: str)
     The names are made distinct before they are gathered, so a group holds as
     many entries as it has differing columns, not rows.
     """
-    missing = expected.select(group, name).distinct().exceptAll(actual.select(group, name).distinct())
-    unexpected = actual.select(group, name).distinct().exceptAll(expected.select(group, name).distinct())
+    missing = expected.select(group, name).subtract(actual.select(group, name))
+    unexpected = actual.select(group, name).subtract(expected.select(group, name))
     sides = missing.withColumn("side", F.lit("missing")).unionByName(
         unexpected.withColumn("side", F.lit("unexpected"))
     )

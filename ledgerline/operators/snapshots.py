@@ -46,21 +46,26 @@ def local_relation(spark: SparkSession, rows: list[tuple], schema: T.StructType)
     return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
 
 
+def local_copy(df: DataFrame, limit: int) -> DataFrame | None:
+    """*df* as a local relation if it has at most *limit* rows, otherwise None."""
+    instants = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
+    # instants travel as microseconds: Python would read them in its own time zone
+    plain = df.withColumns({n: F.unix_micros(n) for n in instants})
+    rows = plain.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return None
+    local = local_relation(df.sparkSession, [tuple(r) for r in rows], plain.schema)
+    return local.withColumns({n: F.timestamp_micros(n) for n in instants})
+
+
 def numbered_snapshots(
     observations: DataFrame, snapshots: DataFrame | None = None, by: tuple[str, ...] = BY_FILE
 ) -> tuple[DataFrame, int | None]:
     """The numbered snapshot list; broadcast, with its length, if it is short."""
     listed = distinct_snapshots(observations, by) if snapshots is None else snapshots
-    fields = {n: listed.schema[n] for n in (*by, STD_FILENAME, STD_TIMESTAMP)}
-    instants = [n for n, f in fields.items() if isinstance(f.dataType, T.TimestampType)]
-    # instants travel as microseconds: Python would read them in its own time zone
-    plain = listed.select(*fields).withColumns({n: F.unix_micros(n) for n in instants})
-    rows = plain.limit(BROADCAST_SNAPSHOTS + 1).collect()
-    if len(rows) > BROADCAST_SNAPSHOTS:
-        return number_snapshots(listed.select(*fields)), None
-    rows.sort(key=lambda r: (r[STD_TIMESTAMP], r[STD_FILENAME]))
-    schema = T.StructType([*plain.schema.fields, T.StructField(SEQ, T.IntegerType())])
-    numbered = local_relation(
-        listed.sparkSession, [(*row, seq) for seq, row in enumerate(rows, start=1)], schema
-    ).withColumns({n: F.timestamp_micros(n) for n in instants})
-    return F.broadcast(numbered), len(rows)
+    listed = listed.select(*dict.fromkeys((*by, STD_FILENAME, STD_TIMESTAMP)))
+    local = local_copy(listed, BROADCAST_SNAPSHOTS)
+    if local is None:
+        return number_snapshots(listed), None
+    numbered = local_copy(number_snapshots(local), BROADCAST_SNAPSHOTS)
+    return F.broadcast(numbered), len(numbered.collect())

@@ -58,7 +58,7 @@ def latest(spec: DatasetSpec, log: DataFrame, hooks: list[Column] | None = None)
 def as_of(spec: DatasetSpec, log: DataFrame, instant: datetime, hooks: list[Column] | None = None) -> DataFrame:
     """Rows as they stood at *instant*: ``from <= t and (to is null or t < to)``.
 
-    Later loads are left out before the window, so their partitions are not read.
+    Later loads are left out by a filter that reaches the scan.
     """
     return latest(spec, log.where(F.col(LOG_TIMESTAMP) <= F.lit(instant)), hooks)
 

@@ -5,12 +5,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.parse import time_stamp
 from ledgerline.operators.changes import capture_changes, full_replay
+from ledgerline.operators.snapshots import local_copy
 from ledgerline.sources import std
 from ledgerline.sources.files import parquet, path_exists, remove_folder
 from ledgerline.spec import LOG_TIMESTAMP, DatasetSpec
@@ -32,6 +35,11 @@ def read(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     return scan(spark, root, spec).drop(PARTITION)
 
 
+def until(spark: SparkSession, root: str, spec: DatasetSpec, instant: datetime) -> DataFrame:
+    """Log rows of the loads up to *instant*, pruned by partition."""
+    return scan(spark, root, spec).where(F.col(PARTITION) <= time_stamp(F.lit(instant))).drop(PARTITION)
+
+
 def _write(rows: DataFrame, path: str, overwrite: str) -> None:
     """Write by load. REBALANCE gathers a load's rows into few files and splits
     a load that is far larger than the others (the first holds every key)."""
@@ -67,14 +75,17 @@ def load(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec, stamp
     wanted = std.snapshots(spark, std_root, spec).where(F.col(PARTITION).isin(stamps))
     if newest is not None:
         wanted = wanted.where(F.col(PARTITION) > newest)
-    taken = sorted(r[PARTITION] for r in wanted.select(PARTITION).distinct().collect())
+    listed = local_copy(wanted, len(stamps))
+    if listed is None:
+        raise ValueError(f"{spec.code}: a snapshot exists under two months")
+    taken = sorted(r[PARTITION] for r in listed.select(PARTITION).collect())
     if not taken:
         return []
     changes = capture_changes(
         spec,
         std.scan(spark, std_root, spec).where(F.col(PARTITION).isin(taken)),
         log=state.drop(PARTITION),
-        snapshots=wanted,
+        snapshots=listed,
         by=std.BY,
     )
     path = folder(root, spec)

@@ -51,18 +51,25 @@ def has_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> bool:
 
 
 def read_files(
-    spark: SparkSession, paths: list[str], names: tuple[str, ...], multiline: bool | None = None
+    spark: SparkSession,
+    paths: list[str],
+    names: tuple[str, ...],
+    multiline: bool | None = None,
+    strict: bool = True,
 ) -> DataFrame:
     """All-text rows of files that share the header *names*, with provenance.
 
     Files whose quoted values stay on one line are split and read in parallel;
     only files with line breaks inside quotes need one task each. With
-    *multiline* None the files themselves are asked.
+    *multiline* None the files themselves are asked. A row with too few or too
+    many values fails a *strict* read of all columns; otherwise it is padded or
+    cut.
     """
     if multiline is None:
         multiline = has_quoted_line_breaks(spark, paths)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = spark.read.options(**_CSV, multiLine=multiline).schema(schema).csv(paths)
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    rows = spark.read.options(**_CSV, multiLine=multiline, mode=mode).schema(schema).csv(paths)
     path = snapshot_path(F.col("_metadata.file_path"))
     return rows.select(
         *[F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names],

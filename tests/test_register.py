@@ -167,6 +167,7 @@ def test_as_of(full):
     for instant in (datetime(2025, 12, 31), JAN, datetime(2026, 2, 15), MAR):
         a = versions.as_of(spec, full.log(spec), instant)
         b = versions.as_of_frame(full.frame(spec), instant)
+        assert rows(full.as_of(spec, instant), "prfInformationCarrier") == rows(a, "prfInformationCarrier")
         assert rows(a, "prfInformationCarrier") == rows(b, "prfInformationCarrier")
     assert rows(versions.as_of(spec, full.log(spec), FEB), "prfInformationCarrier") == [("EKOFISK",), ("OSEBERG",), ("TROLL",)]
 
@@ -263,6 +264,12 @@ def test_bad_number_and_date(spark, tmp_path):
     assert "CANNOT_PARSE" in str(std_fails(spark, tmp_path, catalog.FIELD, reg.FIELD_HEADER, lines).value)
 
 
+@pytest.mark.parametrize("line", ["EKOFISK,2024,1,1.0,0.5,0,0,1.5,0.1", "EKOFISK,2024,1,1.0,0.5,0,0,1.5,0.1,43506,9"])
+def test_row_of_the_wrong_length(spark, tmp_path, line):
+    caught = std_fails(spark, tmp_path, catalog.FIELD_PRODUCTION_MONTHLY, reg.PRODUCTION_HEADER, [*reg.production(2), line])
+    assert "MALFORMED" in str(caught.value) or "Empty prfNpdidInformationCarrier" in str(caught.value)
+
+
 def test_duplicate_key(spark, tmp_path):
     lines = reg.production(1) * 2
     caught = std_fails(spark, tmp_path, catalog.FIELD_PRODUCTION_MONTHLY, reg.PRODUCTION_HEADER, lines)
