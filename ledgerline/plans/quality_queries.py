@@ -205,17 +205,17 @@ def encoding_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Snapshots and files -------------------------------------------------------
 
 FILE_SQL = """SELECT DISTINCT 'raw/star/events/year_month=' || strftime(ts, '%Y-%m') || '/events_u' || user_id || '_'
-    || strftime(ts, '%Y%m%d') || '_' || strftime(ts, '%H') || '00.csv' AS file,
-    strftime(ts, '%Y-%m') AS year_month, strftime(ts, '%Y%m%d_%H') || '00' AS stamp,
-    date_trunc('hour', ts) AS time, user_id, event_id % 4 AS shard FROM events"""
+    || strftime(ts, '%Y%m%d_%H%M') || '.csv' AS file,
+    strftime(ts, '%Y-%m') AS year_month, strftime(ts, '%Y%m%d_%H%M') AS stamp,
+    date_trunc('minute', ts) AS time, user_id, event_id % 4 AS shard FROM events"""
 
 
 def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files the events could have come from: one per user and hour."""
+    """Raw files the events could have come from: one per user and minute."""
     ts = F.col("ts")
     path = F.concat(
         F.lit("raw/star/events/year_month="), F.date_format(ts, "yyyy-MM"), F.lit("/events_u"),
-        F.col("user_id").cast("string"), F.lit("_"), F.date_format(ts, "yyyyMMdd_HH"), F.lit("00.csv"),
+        F.col("user_id").cast("string"), F.lit("_"), F.date_format(ts, "yyyyMMdd_HHmm"), F.lit(".csv"),
     )
     return table(spark, sf_dir, "events").select(path.alias("file"), "user_id", (F.col("event_id") % 4).alias("shard"))
 
@@ -425,22 +425,56 @@ def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "hook_rule_check",
-    f"""WITH {META_SQL}, twice AS (
-        SELECT dataset_id, concept_id, coalesce(role, '') AS role FROM hooks GROUP BY ALL HAVING count(*) > 1)
-    SELECT h.id, 'hooks.csv id ' || h.id || ': dataset ' || h.dataset_id
-        || ' has more than one hook for business concept ' || h.concept_id || ' with role '
-        || coalesce(h.role, '(none)') || ' (give each a different hook_role)' AS message
-    FROM hooks h WHERE EXISTS (SELECT 1 FROM twice t WHERE t.dataset_id = h.dataset_id
-        AND t.concept_id = h.concept_id AND t.role = coalesce(h.role, ''))
+    f"""WITH {META_SQL}, h AS (
+        SELECT o_orderkey::INTEGER AS id, (o_custkey % 27)::INTEGER AS concept_id,
+               (o_custkey + 900)::INTEGER AS dataset_id,
+               CASE WHEN o_orderkey % 10 <> 3 THEN 'o_orderkey' END AS dev,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'float' WHEN '2-HIGH' THEN 'varchar' ELSE 'integer' END AS encoding,
+               CASE WHEN o_orderstatus = 'F' THEN 'licensee' ELSE 'Buyer' END AS role
+        FROM orders),
+    r AS (
+        SELECT h.*, ds.id AS d_id, c.id AS c_id, s.code || '.' || d.code || '.' || c.code AS key_set,
+               count(*) OVER (PARTITION BY h.dataset_id, h.concept_id, h.role) AS role_count
+        FROM h LEFT JOIN datasets ds ON ds.id = h.dataset_id LEFT JOIN sources s ON s.id = ds.source_id
+        LEFT JOIN concepts c ON c.id = h.concept_id LEFT JOIN domains d ON d.id = c.domain_id),
+    m AS (
+        SELECT id, key_set, min(encoding) OVER k <> max(encoding) OVER k AS mixed
+        FROM r WHERE key_set IS NOT NULL WINDOW k AS (PARTITION BY key_set))
+    SELECT id, 'hooks.csv id ' || id || ': empty hook_expression_dev' AS message FROM h WHERE dev IS NULL
     UNION ALL
-    SELECT h.id, 'hooks.csv id ' || h.id || ': unknown dataset_id ' || h.dataset_id
-    FROM hooks h WHERE NOT EXISTS (SELECT 1 FROM datasets d WHERE d.id = h.dataset_id)""",
+    SELECT id, 'hooks.csv id ' || id || ': unknown hook_encoding ' || encoding || ' (integer, bigint or varchar)'
+    FROM h WHERE encoding = 'float'
+    UNION ALL
+    SELECT id, 'hooks.csv id ' || id || ': hook_role ' || role
+        || ' must be an uppercase letter followed by letters or digits' FROM h WHERE role = 'licensee'
+    UNION ALL
+    SELECT id, 'hooks.csv id ' || id || ': dataset ' || dataset_id || ' has more than one hook for business concept '
+        || concept_id || ' with role ' || role || ' (give each a different hook_role)' FROM r WHERE role_count > 1
+    UNION ALL
+    SELECT id, 'hooks.csv id ' || id || ': unknown dataset_id ' || dataset_id FROM r WHERE d_id IS NULL
+    UNION ALL
+    SELECT id, 'hooks.csv id ' || id || ': unknown business_concept_id ' || concept_id FROM r WHERE c_id IS NULL
+    UNION ALL
+    SELECT id, 'hooks.csv id ' || id || ': key set ' || key_set || ' has hooks with different hook_encoding'
+    FROM m WHERE mixed""",
 )
 def hook_rule_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every broken rule of the derived hooks, one row each."""
+    """Orders taken for hooks: every rule they break, one row each."""
     tables = derived_metadata(spark, sf_dir)
+    text = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        (F.col("o_custkey") % 27).cast("string").alias("business_concept_id"),
+        (F.col("o_custkey") + 900).cast("string").alias("dataset_id"),
+        F.when(F.col("o_orderkey") % 10 == 3, " ").otherwise("o_orderkey").alias("hook_expression_dev"),
+        F.lit("o_custkey").alias("hook_expression_prod"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "float")
+        .when(F.col("o_orderpriority") == "2-HIGH", "Varchar")
+        .otherwise("integer")
+        .alias("hook_encoding"),
+        F.when(F.col("o_orderstatus") == "F", "licensee").otherwise("Buyer").alias("hook_role"),
+    )
     return metadata.hook_problems(
-        metadata.hook_rows(tables["hooks"]),
+        metadata.hook_rows(text),
         metadata.datasets(tables["datasets"]),
         metadata.sources(tables["sources"]),
         metadata.business_concepts(tables["business_concepts"]),

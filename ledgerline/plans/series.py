@@ -91,8 +91,8 @@ LINEITEM = Series(
             Column("l_linenumber", "int"),
             Column("parts", "bigint"),
             Column("first_part", "bigint"),
-            Column("returnflag"),
-            Column("linestatus"),
+            Column("returned", "bigint"),
+            Column("opened", "bigint"),
             Column("shipped", "date"),
             Column("balance", "decimal(18,2)"),
             Column("sync_no", "int"),
@@ -101,12 +101,12 @@ LINEITEM = Series(
     base="lineitem",
     number="(l_orderkey + l_linenumber * 5)",
     moving="amount",
-    select=("l_orderkey", "l_linenumber", "parts", "first_part", "returnflag", "linestatus", "shipped"),
+    select=("l_orderkey", "l_linenumber", "parts", "first_part", "returned", "opened", "shipped"),
     aggregates=(
         "count(*) AS parts",
         "min(l_partkey) AS first_part",
-        "max(l_returnflag) AS returnflag",
-        "max(l_linestatus) AS linestatus",
+        "CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS bigint) AS returned",
+        "CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS bigint) AS opened",
         "max(CAST(l_shipdate AS date)) AS shipped",
         "sum(CAST(l_extendedprice AS decimal(18,2))) AS amount",
     ),

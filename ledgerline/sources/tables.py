@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.parse import stamp_time, time_stamp
 from ledgerline.operators.changes import full_replay, step_changes
+from ledgerline.session import configure
 from ledgerline.sources import std
 from ledgerline.spec import LOG_TIMESTAMP, STD_FILENAME, STD_TIMESTAMP, DatasetSpec
 
@@ -62,7 +63,8 @@ def write_clustered(rows: DataFrame, name: str, keys: Sequence[str], buckets: in
     The shuffle hashes like the buckets do, so a partition gets one file per
     bucket.
     """
-    target = rows.sparkSession.table(name).columns
+    spark = configure(rows.sparkSession)  # dynamic partition overwrite
+    target = spark.table(name).columns
     rows.select(*target).repartition(buckets, *[F.col(k) for k in keys]).write.mode("overwrite").insertInto(name)
 
 
