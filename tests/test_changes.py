@@ -86,7 +86,7 @@ def as_rows(log):
     return sorted((repr((r[0], r[1], r[2], r[3], r[4], int(r[5].split("_")[1]), r[6])) for r in got))
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(3))
 def test_fold_replay_and_seeded_replay_agree(spark, seed):
     snapshots = random_snapshots(seed, 7)
     expected = fold(snapshots)
@@ -170,7 +170,6 @@ def test_numbering_does_not_depend_on_the_list_length(spark):
 
 
 def test_local_relation_keeps_instants(spark):
-    import pyarrow as pa  # noqa: F401
     from datetime import timezone
     from pyspark.sql import types as T
 
