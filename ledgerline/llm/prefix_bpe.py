@@ -60,7 +60,7 @@ class Store:
 class PrefixBPE:
     """Encoder for a BPE vocabulary file with an end-of-word mark."""
 
-    def __init__(self, path: str, store: int = 300_000):
+    def __init__(self, path: str, store: int = 500_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -148,7 +148,7 @@ class PrefixBPE:
         return ids
 
     def _stretch(self, stretch: bytes) -> bytes:
-        """Ids (two bytes each) of text without ASCII white space."""
+        """Ids of text without ASCII white space."""
         text = self.normalizer.normalize_str(stretch.decode("utf-8", "replace"))
         ids: list[int] = []
         for piece, _ in self.pre_tokenizer.pre_tokenize_str(text):
