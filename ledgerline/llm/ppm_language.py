@@ -113,7 +113,11 @@ def fit(
     usable = column(id_col).isNotNull() & column(text_col).isNotNull() & column(lang_col).isNotNull() & ~held_out(id_col)
     labelled = docs.where(usable).select(column(id_col).alias("_id"), column(lang_col).alias("_lang"), column(text_col).alias("_text"))
     first = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = labelled.select("_id", "_lang").withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample_rows)
+    # Thinned by the same hash first: with many tasks, not even each task's first rows meet in one.
+    sizes = labelled.groupBy("_lang").agg(F.least(4 * F.lit(sample_rows) / F.count("*"), F.lit(1.0)).alias("_share"))  # one row per language
+    rank = F.xxhash64("_id") / F.lit(2.0**64) + 0.5
+    thin = labelled.select("_id", "_lang").join(F.broadcast(sizes), "_lang").where(rank <= F.col("_share")).drop("_share")
+    chosen = thin.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample_rows)
     chosen = chosen.select("_id").distinct()
     # Ids repeat in bad data: the rows found are limited once more.
     texts = labelled.join(F.broadcast(chosen), "_id", "left_semi")

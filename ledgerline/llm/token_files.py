@@ -241,7 +241,8 @@ def look_up(keys: DataFrame, folder: str, buckets: int) -> DataFrame:
             arrays = [keys_.take(kept), nths.take(kept), *[pa.array(c[at]) for c in columns]]
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "nth", "shard", "start", "n"])
 
-    bucketed = keys.select(_bucket(buckets).alias("bucket"), F.col("key").cast("bigint").alias("key"), F.col("nth").cast("bigint").alias("nth"))
+    typed = keys.select(F.col("key").cast("bigint").alias("key"), F.col("nth").cast("bigint").alias("nth"))
+    bucketed = typed.select(_bucket(buckets).alias("bucket"), "key", "nth")
     return map_batches(bucketed.repartition("bucket").sortWithinPartitions("bucket"), find, ENTRY)
 
 
