@@ -35,8 +35,11 @@ def key_set(source: Column, domain: Column, concept: Column) -> Column:
 
 
 def byte(value: Column) -> Column:
-    """One byte; the caller has checked that the value fits."""
-    return F.unhex(F.lpad(F.hex(value.cast("bigint")), 2, "0"))
+    """One byte; a value that does not fit fails the query."""
+    number = value.cast("bigint")
+    message = F.concat(F.lit("does not fit one byte: "), number.cast("string"))
+    fits = F.when(number.between(0, 255) | number.isNull(), number).otherwise(F.raise_error(message).cast("bigint"))
+    return F.unhex(F.lpad(F.hex(fits), 2, "0"))
 
 
 def key_set_binary(source: Column, domain: Column, concept: Column) -> Column:
@@ -65,10 +68,9 @@ def encoded(value: Column, encoding: str) -> Column:
     if encoding not in _WIDTH:
         raise ValueError(f"Unknown hook encoding '{encoding}'")
     number = value.cast("bigint")
-    guarded = F.when(number.between(0, _LARGEST[encoding]) | number.isNull(), number).otherwise(
-        F.raise_error(
-            F.concat(F.lit(f"hook value does not fit {encoding}: "), number.cast("string"))
-        ).cast("bigint")
+    whole = number == value  # a fraction would share its hook with another key
+    guarded = F.when((whole & number.between(0, _LARGEST[encoding])) | value.isNull(), number).otherwise(
+        F.raise_error(F.concat(F.lit(f"hook value does not fit {encoding}: "), value.cast("string"))).cast("bigint")
     )
     return F.unhex(F.lpad(F.hex(guarded), _WIDTH[encoding], "0"))
 

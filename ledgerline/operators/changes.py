@@ -26,8 +26,6 @@ from ledgerline.spec import (
     DatasetSpec,
 )
 
-_DELETED = "__deleted"
-_TIME = "__time"
 _DIGEST = "__digest"
 
 #: Which values a deletion row repeats.
@@ -40,14 +38,14 @@ def with_digest(spec: DatasetSpec, rows: DataFrame) -> DataFrame:
     return rows.withColumn(STD_MD5, row_digest(spec.schema, spec.digest_columns))
 
 
-def _history(spec: DatasetSpec, log: DataFrame) -> DataFrame:
-    """Log rows, placed before the first snapshot (sequence number 0)."""
-    return log.select(
-        *spec.names,
-        F.lit(0).alias(SEQ),
-        F.col(LOG_TIMESTAMP).alias(_TIME),
-        F.col(LOG_DELETED).alias(_DELETED),
-    )
+def _state(spec: DatasetSpec, log: DataFrame) -> DataFrame:
+    """Live keys of the log, placed before the first snapshot (sequence number 0).
+
+    One row per key leaves the log side, and one per key and task crosses its shuffle, however long
+    the history is. A key whose last row is a deletion counts as never seen: its return is a change
+    either way.
+    """
+    return current_state(spec, log).where(~F.col(LOG_DELETED)).select(*spec.names, F.lit(0).alias(SEQ))
 
 
 def capture_changes(
@@ -78,21 +76,17 @@ def capture_changes(
     if repeat not in (FROM_OBSERVATION, FROM_LOG):
         raise ValueError(f"Unknown deletions_repeat '{repeat}'")
 
-    numbered, count = numbered_snapshots(observations, snapshots, by)
-    order = [SEQ]
+    numbered = numbered_snapshots(observations, snapshots, by)
     rows = observations.join(numbered.select(*by, SEQ), list(by)).select(*spec.names, SEQ)
     if log is not None:
-        order += [_TIME, _DELETED]
-        rows = rows.withColumns(
-            {_TIME: F.lit(None).cast("timestamp"), _DELETED: F.lit(False)}
-        ).unionByName(_history(spec, log))
+        rows = rows.unionByName(_state(spec, log))
 
     # the window below reuses this partitioning; the digest is computed on its
     # far side, spread evenly and not part of the shuffle
     if not clustered:
         rows = rows.repartition(*spec.keys)
     rows = rows.withColumn(_DIGEST, F.unhex(row_digest(spec.schema, spec.digest_columns)))
-    key = Window.partitionBy(*spec.keys).orderBy(*order)
+    key = Window.partitionBy(*spec.keys).orderBy(SEQ)
     seq, digest = F.col(SEQ), F.col(_DIGEST)
     prev_seq, next_seq = F.col("__prev_seq"), F.col("__next_seq")
     rows = rows.select(
@@ -100,15 +94,11 @@ def capture_changes(
         F.lag(_DIGEST).over(key).alias("__prev_digest"),
         F.lag(SEQ).over(key).alias("__prev_seq"),
         F.lead(SEQ).over(key).alias("__next_seq"),
-        *([F.lag(_DELETED).over(key).alias("__prev_deleted")] if log is not None else []),
     )
     changed = prev_seq.isNull() | (prev_seq < seq - 1) | (F.col("__prev_digest") != digest)
     vanished = next_seq.isNull() | (next_seq > seq + 1)
     if log is not None:
-        changed = (seq > 0) & (changed | F.col("__prev_deleted"))
-        vanished = ~F.col(_DELETED) & vanished
-    if count is not None:
-        vanished = (seq < count) & vanished
+        changed = (seq > 0) & changed
     twice = (seq > 0) & (prev_seq == seq)
     message = F.concat(
         F.lit(f"{spec.code}: duplicate key ("),
@@ -123,8 +113,7 @@ def capture_changes(
     )
 
     payload = [F.col(f"`{n}`") for n in spec.payload]
-    # with one snapshot the rows that can vanish are the log rows themselves
-    if repeat == FROM_LOG and count != 1:
+    if repeat == FROM_LOG:
         # values of the last row that entered the log, for the deletion row
         logged = F.last(F.when(F.col("__changed") | (seq == 0), F.struct(*payload)), ignorenulls=True)
         rows = rows.withColumn(
@@ -139,7 +128,7 @@ def capture_changes(
         .when(F.col("__vanished"), F.array(F.lit(True)))
     )
     rows = rows.withColumn(LOG_DELETED, F.explode(events))
-    if repeat == FROM_LOG and count != 1:
+    if repeat == FROM_LOG:
         payload = [
             F.when(deleted, F.col(f"__logged.`{n}`")).otherwise(F.col(f"`{n}`")).alias(n) for n in spec.payload
         ]
@@ -186,9 +175,8 @@ def incremental_changes(
     """
     if snapshots is None:
         snapshots = distinct_snapshots(observations, by)
-    newest = log.agg(F.max(LOG_TIMESTAMP).alias("newest")).first()["newest"]
-    if newest is not None:
-        snapshots = snapshots.where(F.col(STD_TIMESTAMP) >= F.lit(newest))
+    newest = log.agg(F.max(LOG_TIMESTAMP)).scalar()
+    snapshots = snapshots.where(F.coalesce(F.col(STD_TIMESTAMP) >= newest, F.lit(True)))
     return capture_changes(spec, observations, log=log, snapshots=snapshots, by=by)
 
 

@@ -1,23 +1,41 @@
 """Quality checks: each yields its violations as rows, and can raise on them.
 
-The rows are the whole result and stay distributed. An exception message lists
-at most ``MESSAGE_LIMIT`` violations, in order, and says how many there are.
+The rows are the whole result and stay distributed. A check that raises writes
+them all to a Parquet table first; the exception has the table's path, the exact
+total, and the first few entries as a foretaste.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.session import work_folder
 from ledgerline.spec import DatasetSpec
 
-MESSAGE_LIMIT = 1000
+#: Entries an exception message quotes; the table at its path has all of them.
+QUOTED = 50
 
 
 class CheckError(ValueError):
-    """Data breaks a rule of its dataset."""
+    """Data breaks a rule of its dataset; *path* holds every violation."""
+
+    def __init__(self, message: str, path: str | None = None, total: int | None = None):
+        super().__init__(message)
+        self.path, self.total = path, total
+
+
+@dataclass(frozen=True)
+class Violations:
+    """All distinct messages as a table, their number, and a text for people."""
+
+    path: str
+    total: int
+    text: str
 
 
 def schema_drift(expected: Iterable[str], actual: Iterable[str]) -> str | None:
@@ -101,10 +119,15 @@ def missing_parents(children: DataFrame, child: str, parents: DataFrame, parent:
     return counted.join(known, child, "left_anti")
 
 
+def whole(pattern: str) -> str:
+    """*pattern* for the whole value; a final line break is part of the value."""
+    return rf"\A(?:{pattern})\z"
+
+
 def pattern_violations(rows: DataFrame, name: str, pattern: str) -> DataFrame:
     """Rows whose value is empty or does not match *pattern* as a whole."""
     value = F.col(name)
-    return rows.where(value.isNull() | ~value.rlike(f"^(?:{pattern})$"))
+    return rows.where(value.isNull() | ~value.rlike(whole(pattern)))
 
 
 def range_violations(rows: DataFrame, name: str, low: int, high: int) -> DataFrame:
@@ -120,19 +143,23 @@ def mixed_values(rows: DataFrame, group: Sequence[str], name: str) -> DataFrame:
     )
 
 
-def listed(messages: DataFrame, column: str, limit: int = MESSAGE_LIMIT) -> str | None:
-    """Distinct messages in order, joined by ``, ``; None if there are none.
+def listed(messages: DataFrame, column: str, folder: str | None = None) -> Violations | None:
+    """Distinct messages, written below *folder*; None if there are none.
 
-    Only *limit* of them reach the driver.
+    The folder begins with an underscore, so scans of the dataset pass over it.
     """
-    distinct = messages.select(column).where(F.col(column).isNotNull()).distinct()
-    first = [r[0] for r in distinct.orderBy(column).limit(limit + 1).collect()]
-    if not first:
+    distinct = messages.select(F.col(column).alias("message")).where(F.col(column).isNotNull()).distinct()
+    if distinct.isEmpty():
         return None
-    text = ", ".join(first[:limit])
-    if len(first) > limit:
-        text += f", ... ({distinct.count()} in all)"
-    return text
+    spark = messages.sparkSession
+    path = f"{folder.rstrip('/')}/_violations/{uuid.uuid4().hex}" if folder else work_folder(spark, "violations")
+    distinct.write.parquet(path)
+    kept = spark.read.parquet(path)
+    total = kept.count()
+    text = ", ".join(r[0] for r in kept.orderBy("message").limit(QUOTED).collect())
+    if total > QUOTED:
+        text += f", ... ({total} in all, in {path})"
+    return Violations(path, total, text)
 
 
 def check_schema(spec: DatasetSpec, actual: Iterable[str], file: str) -> None:
@@ -141,31 +168,28 @@ def check_schema(spec: DatasetSpec, actual: Iterable[str], file: str) -> None:
         raise CheckError(f"Schema of {file} changed: {drift}")
 
 
-def check_rows(spec: DatasetSpec, rows: DataFrame, file: str) -> None:
-    """Flags and keys of a raw snapshot; one pass, nothing is written before."""
+def check_rows(spec: DatasetSpec, rows: DataFrame, file: str, folder: str | None = None) -> None:
+    """Flags and keys of a raw snapshot; violations go to a table below *folder*."""
     if spec.flags:
-        found = domain_violations(rows, spec.flags, ("Y", "N"))
-        text = listed(
-            found.select(F.concat("column", F.lit("="), F.coalesce("value", F.lit("NULL"))).alias("m")), "m"
-        )
-        if text:
-            raise CheckError(f"Unexpected flag values in {file}: {text}")
-    empty = null_keys(rows, spec.keys, spec.key_labels).select(
-        "column", F.coalesce("label", F.lit("NULL")).alias("label")
-    )
-    columns = [r["column"] for r in empty.select("column").distinct().collect()]
-    for key in [k for k in spec.keys if k in columns]:
-        raise CheckError(f"Empty {key} in {file}: {listed(empty.where(F.col('column') == key), 'label')}")
-
-
-def check_unique(spec: DatasetSpec, rows: DataFrame, file: str) -> None:
+        wrong = domain_violations(rows, spec.flags, ("Y", "N"))
+        found = listed(wrong.select(F.concat("column", F.lit("="), F.coalesce("value", F.lit("NULL"))).alias("m")), "m", folder)
+        if found:
+            raise CheckError(f"Unexpected flag values in {file}: {found.text}", found.path, found.total)
+    empty = null_keys(rows, spec.keys, spec.key_labels).withColumn("label", F.coalesce("label", F.lit("NULL")))
+    for key in spec.keys:
+        found = listed(empty.where(F.col("column") == key), "label", folder)
+        if found:
+            raise CheckError(f"Empty {key} in {file}: {found.text}", found.path, found.total)
+
+
+def check_unique(spec: DatasetSpec, rows: DataFrame, file: str, folder: str | None = None) -> None:
     """A business key occurs once in a snapshot."""
-    found = duplicates(rows, list(spec.keys)).select(
+    twice = duplicates(rows, list(spec.keys)).select(
         F.concat_ws("/", *[F.col(f"`{k}`").cast("string") for k in spec.keys]).alias("m")
     )
-    text = listed(found, "m")
-    if text:
-        raise CheckError(f"Duplicate key in {file}: {text}")
+    found = listed(twice, "m", folder)
+    if found:
+        raise CheckError(f"Duplicate key in {file}: {found.text}", found.path, found.total)
 
 
 def ranked(rows: DataFrame, names: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A hook value is hot when it holds more than one in this many of the rows;
-#: there can be no more hot values than that.
-HOT_SHARE = 64
+from ledgerline.operators.snapshots import local_relation
 
-#: Below this many rows a hook value is never worth splitting.
-HOT_ROWS = 1_000_000
+_HOT, _SPLITS, _SALT = "__hot", "__splits", "__salt"
 
-_SALT = "__salt"
 
+def hot_values(rows: DataFrame, hook: str) -> DataFrame:
+    """(value, splits) of hook values with more rows than one task's fair share.
 
-def hot_values(rows: DataFrame, hook: str, share: int = HOT_SHARE, at_least: int = HOT_ROWS) -> list:
-    """Non-null hook values that hold more than ``1/share`` of the rows (at most *share*)."""
-    counted = rows.groupBy(hook).agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n").alias("n")).first()["n"] or 0
-    limit = max(total // share, at_least - 1)
-    found = counted.where(F.col(hook).isNotNull() & (F.col("n") > limit)).select(hook).collect()
-    return [r[0] for r in found]
+    There can be no more of them than there are shuffle partitions, so they are kept as a small
+    local relation; *splits* is how many fair shares a value fills.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = rows.where(F.col(hook).isNotNull()).groupBy(F.col(hook).alias("value")).agg(F.count("*").alias("n"))
+    total = counted.agg(F.sum("n")).scalar()
+    found = counted.where(F.col("n") * tasks > total).select(
+        "value", F.ceil(F.col("n") * tasks / total).cast("int").alias("splits")
+    )
+    kind = rows.schema[hook].dataType
+    schema = T.StructType([T.StructField("value", kind), T.StructField("splits", T.IntegerType())])
+    return local_relation(rows.sparkSession, [tuple(r) for r in found.collect()], schema)
 
 
 def hook_join(
@@ -30,30 +34,32 @@ def hook_join(
     hook: str,
     how: str = "left",
     right_hook: str | None = None,
-    hot: list | None = None,
-    splits: int = 32,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on a hook; NULL hooks never match.
 
-    Rows without a hook would all land in one task of an outer join; they are
-    spread over *splits* salts. A value that most rows share (one operator of
-    most fields) is split by AQE at run time; values given as *hot* (see
-    ``hot_values``) are salted as well, and only their right rows are repeated,
-    once per salt. The result keeps every column of both sides.
+    Rows without a hook take no part in the join: a left join adds them afterwards, without a
+    shuffle. Rows of a value that *hot* lists (see ``hot_values``) are spread over as many salts as
+    the value fills tasks, and only its right rows are repeated, once per salt. The result keeps
+    every column of both sides.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"Unknown hook join '{how}'")
     other = right_hook or hook
-
-    def is_hot(column: Column) -> Column:
-        return column.isin(hot) if hot else F.lit(False)
-
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(splits)).cast("int")
-    salted = left.withColumn(
-        _SALT, F.when(F.col(hook).isNull() | is_hot(F.col(hook)), spread).otherwise(F.lit(0))
-    )
-    salts = F.when(is_hot(F.col(other)), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.where(F.col(other).isNotNull()).withColumn(f"{_SALT}_right", F.explode(salts))
-    condition = (salted[hook] == repeated[other]) & (salted[_SALT] == repeated[f"{_SALT}_right"])
-    joined = salted.join(repeated, condition, how)
-    return joined.drop(_SALT, f"{_SALT}_right")
+    known, present = left.where(F.col(hook).isNotNull()), right.where(F.col(other).isNotNull())
+    if hot is None:
+        joined = known.join(present, known[hook] == present[other], how)
+    else:
+        values = hot.select(F.col("value").alias(_HOT), F.col("splits").alias(_SPLITS))
+        mark = lambda side, name: side.join(F.broadcast(values), F.col(name) == F.col(_HOT), "left").drop(_HOT)
+        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.col(_SPLITS)).cast("int")
+        salted = mark(known, hook).withColumn(_SALT, F.coalesce(spread, F.lit(0))).drop(_SPLITS)
+        salts = F.sequence(F.lit(0), F.coalesce(F.col(_SPLITS), F.lit(1)) - 1)
+        repeated = mark(present, other).withColumn(f"{_SALT}_right", F.explode(salts)).drop(_SPLITS)
+        condition = (salted[hook] == repeated[other]) & (salted[_SALT] == repeated[f"{_SALT}_right"])
+        joined = salted.join(repeated, condition, how).drop(_SALT, f"{_SALT}_right")
+    if how == "inner":
+        return joined
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
+    # by position: both sides may name their hook alike
+    return joined.union(left.where(F.col(hook).isNull()).select("*", *missing))

@@ -15,11 +15,6 @@ SEQ = "__seq"
 #: What identifies a snapshot in its rows unless the caller names cheaper columns.
 BY_FILE = (STD_FILENAME, STD_TIMESTAMP)
 
-#: A snapshot list up to this length is broadcast (about 300 bytes an entry,
-#: so 15 MB at most). A longer one is joined through a shuffle.
-BROADCAST_SNAPSHOTS = 50_000
-
-
 def distinct_snapshots(observations: DataFrame, by: tuple[str, ...] = BY_FILE) -> DataFrame:
     """Snapshots that hold at least one row; reads no data column."""
     return observations.select(*dict.fromkeys((*by, STD_FILENAME, STD_TIMESTAMP))).distinct()
@@ -60,12 +55,7 @@ def local_copy(df: DataFrame, limit: int) -> DataFrame | None:
 
 def numbered_snapshots(
     observations: DataFrame, snapshots: DataFrame | None = None, by: tuple[str, ...] = BY_FILE
-) -> tuple[DataFrame, int | None]:
-    """The numbered snapshot list; broadcast, with its length, if it is short."""
+) -> DataFrame:
+    """The numbered snapshot list. How it is joined is left to its size."""
     listed = distinct_snapshots(observations, by) if snapshots is None else snapshots
-    listed = listed.select(*dict.fromkeys((*by, STD_FILENAME, STD_TIMESTAMP)))
-    local = local_copy(listed, BROADCAST_SNAPSHOTS)
-    if local is None:
-        return number_snapshots(listed), None
-    numbered = local_copy(number_snapshots(local), BROADCAST_SNAPSHOTS)
-    return F.broadcast(numbered), len(numbered.collect())
+    return number_snapshots(listed.select(*dict.fromkeys((*by, STD_FILENAME, STD_TIMESTAMP))))

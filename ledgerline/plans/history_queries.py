@@ -37,7 +37,6 @@ from ledgerline.plans.series import (
     replay,
     snapshot_list,
     snapshot_rows,
-    spread,
     table,
 )
 from ledgerline.sources import log as log_layer
@@ -148,7 +147,7 @@ def frame_sql(series: Series, hooks: str = "") -> str:
        FROM lineitem""",
 )
 def row_digest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(table(spark, sf_dir, "lineitem")).withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
     names = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     return rows.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", row_digest(rows.schema, names).alias("digest")
@@ -238,12 +237,14 @@ def replay_equals_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log built one snapshot at a time; the counterpart replays them all."""
     rows = snapshot_rows(spark, sf_dir, CUSTOMER, SNAPSHOTS)
     listed = snapshot_list(spark, CUSTOMER, SNAPSHOTS)
+    folder = work_folder(spark, "fold")
     log = empty_log(spark, CUSTOMER.spec)
     for seq in range(1, SNAPSHOTS + 1):
         step = capture_changes(
             CUSTOMER.spec, rows.where(F.col("seq") == seq), log=log, snapshots=listed.where(F.col("seq") == seq), by=BY
         )
-        log = log.unionByName(step)
+        step.write.parquet(f"{folder}/step-{seq}")  # each step reads the log once, as a table
+        log = spark.read.schema(log.schema).parquet(f"{folder}/step-*")
     return log.drop(*CUSTOMER.spec.volatile)
 
 
@@ -353,7 +354,7 @@ def hook_dev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _production(spark: SparkSession, sf_dir: str, name: str, key: list[str], value: str, encoding: str) -> DataFrame:
     hook = production_hook(F.lit(bytearray(KEY_SET_BINARY)), F.expr(value), encoding)
-    return spread(table(spark, sf_dir, name)).select(*key, F.hex(hook).alias("hook"))
+    return table(spark, sf_dir, name).select(*key, F.hex(hook).alias("hook"))
 
 
 @query("hook_prod_int", "SELECT o_orderkey, '140102' || printf('%08X', o_custkey) AS hook FROM orders")
@@ -433,7 +434,7 @@ def hook_join_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     right = table(spark, sf_dir, "supplier").select(
         production_hook(prefix, F.col("s_suppkey"), INTEGER).alias("HK_SUPPLIER"), "s_name"
     )
-    hot = hot_values(left, "HK_SUPPLIER__Seller", at_least=1000)
+    hot = hot_values(left, "HK_SUPPLIER__Seller")
     joined = hook_join(left, right, "HK_SUPPLIER__Seller", right_hook="HK_SUPPLIER", hot=hot)
     return joined.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "s_name")
 
@@ -493,15 +494,17 @@ def continuous_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stable_log(log_layer.read(spark, f"{root}/lake", CUSTOMER.spec), CUSTOMER)
 
 
-BUCKETS = 8
+def _buckets(spark: SparkSession) -> int:
+    """As many buckets as the cluster shuffles into: the width follows the data's scale."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _clustered_std(spark: SparkSession, sf_dir: str, series: Series) -> tuple[str, str]:
     """A Std table bucketed on the key, and the name prefix of its snapshots."""
     root = work_folder(spark, "clustered")
     name = "ledgerline_" + root.rsplit("-", 1)[-1]
-    tables.create_std(spark, name, series.spec, BUCKETS, f"{root}/std")
-    tables.write_clustered(_partitioned(spark, sf_dir, series), name, series.spec.keys, BUCKETS)
+    tables.create_std(spark, name, series.spec, _buckets(spark), f"{root}/std")
+    tables.write_clustered(_partitioned(spark, sf_dir, series), name, series.spec.keys, _buckets(spark))
     return name, "std"
 
 
@@ -517,8 +520,8 @@ def clustered_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last snapshot against a bucketed log of the ones before."""
     name, root = _clustered_std(spark, sf_dir, ORDERS)
     log, last = f"{name}_log", f"2026{SNAPSHOTS:02d}01_1000"
-    tables.create_log(spark, log, ORDERS.spec, BUCKETS, f"{work_folder(spark, 'clustered-log')}/log")
-    tables.write_log(replay(spark, sf_dir, ORDERS, SNAPSHOTS - 1), log, ORDERS.spec, BUCKETS)
+    tables.create_log(spark, log, ORDERS.spec, _buckets(spark), f"{work_folder(spark, 'clustered-log')}/log")
+    tables.write_log(replay(spark, sf_dir, ORDERS, SNAPSHOTS - 1), log, ORDERS.spec, _buckets(spark))
     return tables.step_table(spark, name, log, root, ORDERS.spec, last)
 
 

@@ -148,12 +148,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores if the input is too small to be split that far."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def snapshot_rows(spark: SparkSession, sf_dir: str, series: Series, count: int = 4) -> DataFrame:
     """Rows of every snapshot, ``seq`` from 1 to *count*.
 
@@ -164,8 +158,6 @@ def snapshot_rows(spark: SparkSession, sf_dir: str, series: Series, count: int =
     base = table(spark, sf_dir, series.base)
     if series.aggregates:
         base = base.groupBy(*series.spec.keys).agg(*[F.expr(e) for e in series.aggregates])
-    else:
-        base = spread(base)
     seq = F.explode(F.array(*[F.lit(i) for i in range(1, count + 1)])).alias("seq")
     number = F.expr(series.number)
     step = F.floor((number % 13 + F.col("seq")) / F.lit(5.0))

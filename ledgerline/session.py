@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,10 +48,13 @@ def local_session(cores: int | str = 8, memory: str = "12g", shuffle_partitions:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a
-    session without it (tests, a laptop) gets a temporary folder of its own.
+    The folder is the one the session names in ``spark.checkpoint.dir``. Only a session in one
+    process (tests, a laptop) may lack it and gets a temporary folder of its own; on a cluster
+    executors could not see that.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="ledgerline-")
     return f"{root.rstrip('/')}/ledgerline/{purpose}-{uuid.uuid4().hex}"

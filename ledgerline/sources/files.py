@@ -17,6 +17,16 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jvm_path).isDirectory()
 
 
+def partition_values(spark: SparkSession, folder: str, name: str) -> list[str]:
+    """Values of the partition column *name* below *folder*, in order, from folder names alone."""
+    if not path_exists(spark, folder):
+        return []
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
+    names = [status.getPath().getName() for status in found]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{name}="))
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)

@@ -15,7 +15,7 @@ from ledgerline.functions.parse import time_stamp
 from ledgerline.operators.changes import capture_changes, full_replay
 from ledgerline.operators.snapshots import local_copy
 from ledgerline.sources import std
-from ledgerline.sources.files import parquet, path_exists, remove_folder
+from ledgerline.sources.files import parquet, partition_values, path_exists, remove_folder
 from ledgerline.spec import LOG_TIMESTAMP, DatasetSpec
 
 PARTITION = "snapshot"
@@ -68,8 +68,8 @@ def load(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec, stamp
     a crash, writes the same partitions again instead of adding rows.
     """
     log = scan(spark, root, spec)
-    others = log.where(~F.col(PARTITION).isin(stamps))
-    newest = others.agg(F.max(PARTITION).alias("newest")).first()["newest"]
+    others = [s for s in partition_values(spark, folder(root, spec), PARTITION) if s not in set(stamps)]
+    newest = others[-1] if others else None
     # every partition after the newest of the others belongs to this batch
     state = log.where(F.col(PARTITION) <= F.lit(newest))
     wanted = std.snapshots(spark, std_root, spec).where(F.col(PARTITION).isin(stamps))

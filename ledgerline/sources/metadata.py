@@ -18,7 +18,7 @@ from ledgerline import catalog
 from ledgerline.functions.hooks import ENCODINGS, Hook, hook_column, key_set, key_set_binary
 from ledgerline.functions.parse import blank_to_null
 from ledgerline.operators.snapshots import local_relation
-from ledgerline.operators.checks import duplicates, listed, missing_parents, mixed_values
+from ledgerline.operators.checks import duplicates, listed, missing_parents, mixed_values, whole
 
 # Columns of the metadata files and the patterns of their codes.
 COLUMNS = {
@@ -39,7 +39,11 @@ HOOK_ROLE = "[A-Z][A-Za-z0-9]*"
 
 
 class MetadataError(ValueError):
-    """A metadata file breaks a rule; the previous table stays."""
+    """A metadata file breaks a rule; the previous table stays. *path* holds every broken rule."""
+
+    def __init__(self, message: str, path: str | None = None, total: int | None = None):
+        super().__init__(message)
+        self.path, self.total = path, total
 
 
 def from_text(spark: SparkSession, name: str, text: str) -> DataFrame:
@@ -61,7 +65,7 @@ def catalog_tables(spark: SparkSession, overrides: Mapping[str, str] | None = No
 
 
 def _text(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("(empty)")) for p in parts])
 
 
 def _problems(rows: DataFrame, condition: Column, message: Column) -> DataFrame:
@@ -106,7 +110,7 @@ def domain_problems(domains: DataFrame) -> DataFrame:
                   _text(f"{file}: duplicate id ", ident)),
         _problems(domains, ~ident.between(0, 255),
                   _text(f"{file} id ", ident, ": must fit in one byte (0-255) for key_set_binary")),
-        _problems(domains, code.isNull() | ~code.rlike(f"^(?:{DOMAIN_CODE})$"),
+        _problems(domains, code.isNull() | ~code.rlike(whole(DOMAIN_CODE)),
                   _text(f"{file} id ", ident, ": code ", F.coalesce(code, F.lit("(empty)")),
                         " must be exactly 3 lowercase letters or digits")),
         duplicates(domains.where(code.isNotNull()), ["code"]).select(
@@ -197,7 +201,7 @@ def hook_problems(
         _problems(hooks, F.col("hook_expression_prod").isNull(), _text(prefix, ": empty hook_expression_prod")),
         _problems(hooks, ~F.col("hook_encoding").isin(*ENCODINGS),
                   _text(prefix, ": unknown hook_encoding ", F.col("hook_encoding"), " (integer, bigint or varchar)")),
-        _problems(hooks, F.col("hook_role").isNotNull() & ~F.col("hook_role").rlike(f"^(?:{HOOK_ROLE})$"),
+        _problems(hooks, F.col("hook_role").isNotNull() & ~F.col("hook_role").rlike(whole(HOOK_ROLE)),
                   _text(prefix, ": hook_role ", F.col("hook_role"),
                         " must be an uppercase letter followed by letters or digits")),
         _problems(duplicates(hooks, ["id"]), F.lit(True), _text(f"{file}: duplicate id ", ident)),
@@ -232,9 +236,9 @@ def hook_registry(
 
 
 def _assert_none(problems: DataFrame) -> None:
-    text = listed(problems, "message")
-    if text:
-        raise MetadataError(text)
+    found = listed(problems, "message")
+    if found:
+        raise MetadataError(found.text, found.path, found.total)
 
 
 def build(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -278,38 +282,41 @@ def hooks_of(registry: DataFrame, datasets_: DataFrame, code: str) -> list[Hook]
     ]
 
 
-MAX_DEPTH = 64
-
+def dataset_tables(datasets_: DataFrame, root: str | None = None) -> DataFrame:
+    """(root, code, level) of every dataset, or of *root* alone, and the tables it feeds.
 
-def dataset_tables(datasets_: DataFrame) -> DataFrame:
-    """(root, code, level) of every dataset and the tables it feeds.
-
-    A row feeds its own table if it has keys; children follow ``parent_code``
-    level by level, parents first. One join per level.
+    A row feeds its own table if it has keys; children follow ``parent_code``, parents first, to any
+    depth. Meeting a code again on the way down from a root is a cycle and fails the query.
     """
+    spark = datasets_.sparkSession
+    for limit in ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit"):
+        spark.conf.set(limit, "-1")
     rows = datasets_.select("code", "parent_code", F.trim(F.coalesce("keys", F.lit(""))).alias("keys"))
-    frontier = rows.select(F.col("code").alias("root"), "code", "keys", F.lit(0).alias("level"))
-    found = frontier
-    children = rows.select(F.col("code").alias("child"), "parent_code", F.col("keys").alias("child_keys"))
-    for level in range(1, MAX_DEPTH + 2):
-        frontier = frontier.join(children, F.col("code") == F.col("parent_code")).select(
-            "root", F.col("child").alias("code"), F.col("child_keys").alias("keys"), F.lit(level).alias("level")
+    start = rows if root is None else rows.where(F.col("code") == root)
+    found = spark.sql(
+        """
+        WITH RECURSIVE tree(root, code, keys, level, above, again) AS (
+            SELECT code, code, keys, 0, array(code), false FROM {start}
+            UNION ALL
+            SELECT t.root, r.code, r.keys, t.level + 1, array_append(t.above, r.code), array_contains(t.above, r.code)
+            FROM tree t JOIN {rows} r ON r.parent_code = t.code WHERE NOT t.again
         )
-        if frontier.isEmpty():
-            break
-        if level > MAX_DEPTH:
-            raise MetadataError(f"datasets.csv: parent_code chain longer than {MAX_DEPTH} (a cycle?)")
-        found = found.unionByName(frontier)
-    return found.where("keys <> ''").select("root", "code", "level")
+        SELECT * FROM tree
+        """,
+        start=start,
+        rows=rows,
+    )
+    message = F.concat(F.lit("datasets: parent_code leads from "), "code", F.lit(" back to itself"))
+    checked = F.when(F.col("again"), F.raise_error(message).cast("string")).otherwise(F.col("keys"))
+    return found.where(checked != "").select("root", "code", "level")
 
 
 def tables_of(datasets_: DataFrame, code: str) -> list[str]:
     """Codes of the tables fed by one dataset, parents first."""
     if datasets_.where(F.col("code") == code).isEmpty():
-        raise KeyError(f"Dataset '{code}' is not in datasets.csv")
-    root = datasets_.select("code", "parent_code", "keys", "id")
-    order = {r["code"]: r["id"] for r in root.select("code", "id").collect()}
-    rows = dataset_tables(root).where(F.col("root") == code).collect()
+        raise KeyError(f"no dataset has the code '{code}'")
+    fed = dataset_tables(datasets_, code).select("code", "level")
+    rows = fed.join(datasets_.select("code", "id"), "code").orderBy("level", "id").collect()
     if not rows:
-        raise ValueError(f"Dataset '{code}' has no row with keys in datasets.csv")
-    return [r["code"] for r in sorted(rows, key=lambda r: (r["level"], order[r["code"]]))]
+        raise ValueError(f"dataset '{code}' feeds no table: none of its rows has keys")
+    return [r["code"] for r in rows]

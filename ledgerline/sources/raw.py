@@ -8,6 +8,8 @@ the header line.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +26,9 @@ def folder(root: str, spec: DatasetSpec) -> str:
     return f"{root.rstrip('/')}/{spec.source}/{spec.table}"
 
 
-def snapshot_files(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
+def snapshot_files(spark: SparkSession, root: str, spec: DatasetSpec, pattern: str = "*.csv") -> DataFrame:
     """(file, year_month, stamp, time) of every raw file, from the listing."""
-    files = listing(spark, folder(root, spec), "*.csv").select(snapshot_path(F.col("path")).alias("file"))
+    files = listing(spark, folder(root, spec), pattern).select(snapshot_path(F.col("path")).alias("file"))
     stamp = file_stamp(F.col("file"))
     return files.select(
         "file", file_month(F.col("file")).alias("year_month"), stamp.alias("stamp"), stamp_time(stamp).alias("time")
@@ -43,6 +45,17 @@ def header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.options(**_CSV).csv(path).columns)
 
 
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of many files: one distributed read takes the first line of each."""
+    if not paths:
+        return {}
+    path = snapshot_path(F.col("_metadata.file_path"))
+    lines = spark.read.text(paths).select(path.alias("file"), F.struct(F.col("_metadata.file_block_start").alias("at"), "value").alias("line"))
+    first = lines.where("line.at = 0").groupBy("file").agg(F.first("line.value").alias("value"))
+    found = {r["file"]: next(csv.reader([r["value"].lstrip("\ufeff")])) for r in first.collect()}
+    return {p: tuple(found.get(p) or header(spark, p)) for p in paths}
+
+
 def has_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> bool:
     """Whether a quoted value spans lines: some line holds an odd number of quotes."""
     value = F.col("value")
@@ -88,8 +101,8 @@ def scan(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     """
     paths = [r["file"] for r in list_snapshots(snapshot_files(spark, root, spec)).collect()]
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(header(spark, path), []).append(path)
+    for path, names in headers(spark, paths).items():
+        groups.setdefault(names, []).append(path)
     provenance = (RAW_FILENAME, RAW_YEAR_MONTH, RAW_TIMESTAMP)
     united: DataFrame | None = None
     for names, members in groups.items():

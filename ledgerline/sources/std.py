@@ -9,6 +9,7 @@ columns keeps the one-file form
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,16 +82,26 @@ def typed_rows(spec: DatasetSpec, rows: DataFrame) -> DataFrame:
 def write(spec: DatasetSpec, rows: DataFrame, root: str) -> None:
     """Publish typed rows; only the partitions they belong to are replaced.
 
-    Input splits hold one snapshot each, so no shuffle precedes the write.
+    REBALANCE gathers the rows of a snapshot into files of a good size, so a task that holds several
+    snapshots does not leave a file in each.
     """
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", *[F.col(c) for c in BY])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*BY)
         .parquet(folder(root, spec))
     )
 
 
+def publish(spec: DatasetSpec, rows: DataFrame, root: str, raw_file: str) -> None:
+    """Publish one table's typed rows of a raw file; keys must be there and unique."""
+    check_unique(spec, rows, raw_file, folder(root, spec))
+    stamped = rows.select(*spec.names, F.lit(raw_file).alias(RAW_FILENAME))
+    path = F.col(RAW_FILENAME)
+    write(spec, stamped.select(*spec.names, file_month(path).alias("year_month"), file_stamp(path).alias("snapshot")), root)
+
+
 def scan(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     """Typed columns and partition columns of every snapshot."""
     schema = T.StructType(spec.schema.fields + [T.StructField(c, T.StringType()) for c in BY])
@@ -144,6 +155,17 @@ def pending(files: DataFrame, tables: list[str], existing: DataFrame, rebuild: b
     return wanted.join(existing, ["table", "year_month", "stamp"], "left_anti").select("file", "time").distinct()
 
 
+def is_data_error(error: Exception) -> bool:
+    """Whether what went wrong is in the data: a broken rule, a bad value, a malformed row.
+
+    A lost executor, a full disk or a missing permission is not, and is not tried again here.
+    """
+    if isinstance(error, CheckError):
+        return True
+    text = str(error)
+    return any(mark in text for mark in ("CAST_INVALID_INPUT", "CANNOT_PARSE", "MALFORMED", "USER_RAISED_EXCEPTION", "NUMERIC_VALUE_OUT_OF_RANGE"))
+
+
 def _convert(spark: SparkSession, spec: DatasetSpec, std_root: str, paths: list[str], names: tuple[str, ...]) -> None:
     rows = raw.read_files(spark, paths, names, spec.multiline)
     typed_ = typed_rows(spec, rows)
@@ -159,10 +181,12 @@ def standardize(spark: SparkSession, spec: DatasetSpec, std_root: str, path: str
     check_schema(spec, names, path)
     try:
         _convert(spark, spec, std_root, [path], names)
-    except Exception:
+    except (PySparkException, CheckError) as e:
+        if not is_data_error(e):
+            raise
         rows = raw.read_files(spark, [path], names, spec.multiline)
-        check_rows(spec, rows, path)
-        check_unique(spec, rows, path)
+        check_rows(spec, rows, path, folder(std_root, spec))
+        check_unique(spec, rows, path, folder(std_root, spec))
         raise
 
 
@@ -182,21 +206,20 @@ def standardize_all(
         .orderBy("time", "file")
         .collect()
     ]
+    headers = raw.headers(spark, todo)
+    drifted = next((k for k, path in enumerate(todo) if set(headers[path]) != set(spec.names)), len(todo))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in todo:
-        names = raw.header(spark, path)
-        if set(names) != set(spec.names):
-            groups = {}
-            break
-        groups.setdefault(names, []).append(path)
-    if groups:
-        try:
-            for names, paths in groups.items():
-                _convert(spark, spec, std_root, paths, names)
-            return len(todo)
-        except Exception:
-            pass
-    for path in todo:
-        standardize(spark, spec, std_root, path)
+    for path in todo[:drifted]:  # files before the first drifted one are converted together
+        groups.setdefault(headers[path], []).append(path)
+    try:
+        for names, paths in groups.items():
+            _convert(spark, spec, std_root, paths, names)
+    except (PySparkException, CheckError) as e:
+        if not is_data_error(e):
+            raise
+        for path in todo:  # bad data: one by one, so that the bad file names itself
+            standardize(spark, spec, std_root, path)
+    if drifted < len(todo):
+        check_schema(spec, headers[todo[drifted]], todo[drifted])
     return len(todo)
 

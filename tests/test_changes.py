@@ -152,14 +152,14 @@ def test_duplicate_key_in_a_snapshot_fails(spark):
         incremental_changes(SPEC, twice.union(twice), empty_log(spark, SPEC)).collect()
 
 
-def test_long_snapshot_list_is_not_broadcast(spark, monkeypatch):
-    from ledgerline.operators import snapshots as module
-
+def test_increment_reads_one_row_per_key_of_the_log(spark):
     snapshots = random_snapshots(11, 6)
     observations = frame_of(spark, snapshots)
-    expected = as_rows(full_replay(SPEC, observations))
-    monkeypatch.setattr(module, "BROADCAST_SNAPSHOTS", 2)
-    assert as_rows(full_replay(SPEC, observations)) == expected
+    log = full_replay(SPEC, observations)
+    step = incremental_changes(SPEC, observations, log)
+    assert "WindowGroupLimit" in step._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    )
 
 
 def test_numbering_does_not_depend_on_the_list_length(spark):
