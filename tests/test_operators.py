@@ -295,7 +295,8 @@ def test_bucketed_tables_need_no_shuffle(spark, tmp_path):
             tables.write_log(step, "ledger.log_hst", spec, 4)
         assert tables.step_table(spark, "ledger.std_hst", "ledger.log_hst", f"{root}/std", spec, reg.STAMPS[1]).isEmpty()
         assert tables.step_table(spark, "ledger.std_hst", "ledger.log_hst", f"{root}/std", spec, "20990101_1000").isEmpty()
-        got = spark.table("ledger.log_hst").drop("snapshot")
+        # deletions repeat the last log row here and the last observation there: volatile columns differ
+        got = spark.table("ledger.log_hst").drop("snapshot", *spec.volatile)
         assert got.exceptAll(full.select(*got.columns)).isEmpty() and got.count() == full.count()
     finally:
         spark_conf.set(broadcast, before)
