@@ -11,8 +11,8 @@ of the last rule before it; the topmost entry that begins the url's path is the
 fits, because whatever fits the url and starts earlier is open at that rule too. Of the hosts of a
 url the longest rule wins.
 
-A host may hold a third of the urls: its sweep is split into as many lots as its share asks for, and
-its rules go into each. Equal urls are judged once.
+A host may hold a third of the urls: it is split into as many lots as its share asks for before its
+urls are shuffled, and its rules go into each. Equal urls are judged once.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path and fits no rule, as does
 a url without a path if the rule has one. Rules that occur twice count once, if they agree; of two
@@ -74,15 +74,18 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     levels = urls.select("host", "path", F.explode(F.sequence(F.lit(1), most)).alias("n"))
     levels = levels.select("host", "path", _reversed(F.col("host"), F.col("n")).alias("key"))
 
-    hosts = stacks.select("key").distinct()
-    held = levels.join(hosts, "key").groupBy("key").agg(F.count("*").alias("n"))
-    lots = held.select("key", F.ceil(F.col("n") * lots_of_all / held.agg(F.sum("n")).scalar()).cast("int").alias("lots"))
-
-    points = levels.join(lots, "key").select(
-        "key", F.pmod(F.xxhash64("host", "path"), F.col("lots")).cast("int").alias("lot"), F.lit(1).alias("kind"), "path", "host", F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack")
-    )
-    opens = stacks.join(lots, "key").select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), F.lit(0).alias("kind"), "path", F.lit(None).cast("string").alias("host"), "stack"
+    # Hosts of rules with more than one lot's share of all keys: at most as many as there are lots.
+    share = F.ceil(F.col("n") * lots_of_all / levels.agg(F.count("*")).scalar()).cast("int")
+    held = levels.groupBy("key").agg(F.count("*").alias("n"))
+    hot = held.where(share > 1).select("key", share.alias("lots")).join(stacks.select("key").distinct(), "key", "left_semi")
+    hot = F.broadcast(hot)
+
+    lot = F.pmod(F.xxhash64("host", "path"), F.coalesce("lots", F.lit(1))).cast("int")
+    dealt = levels.join(hot, "key", "left").withColumn("lot", lot)
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("lots", F.lit(1)) - 1)).alias("lot")
+    opens = stacks.join(hot, "key", "left").select("key", each, F.lit(0).alias("kind"), "path", F.lit(None).cast("string").alias("host"), "stack")
+    points = dealt.join(opens.select("key", "lot").distinct(), ["key", "lot"], "left_semi").select(
+        "key", "lot", F.lit(1).alias("kind"), "path", "host", F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack")
     )
     sweep = Window.partitionBy("key", "lot").orderBy("path", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     swept = points.unionByName(opens).withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("kind = 1")
