@@ -8,7 +8,7 @@ Format, below one folder:
   bits; a key's slot is the rank of its first bit that no other key of the bucket shares), and per
   slot a 32-bit fingerprint of the key, shard, offset and number of ids. Keys are not stored: a key
   that was never written has a foreign fingerprint, up to one in 2^32;
-* ``manifest``: Parquet, one row per shard: ids before it, ids, documents.
+* ``manifest``: Parquet, one row per shard: ids before it, ids, documents, and the number of buckets.
 
 A lookup hashes the key, opens one index file, reads one slot and one range of bytes.
 
@@ -40,6 +40,8 @@ from ledgerline.llm.library_bpe import library
 
 #: Bits per key of a level of the hash function, and the fingerprints' seed.
 GAMMA, PRINT_SEED = 2, 0x9E3779B9
+#: Keys of an index file on average, at most; bounds what a task of the index holds at once.
+BUCKET_KEYS = 1 << 18
 ENTRY = "key bigint, nth bigint, shard int, start bigint, n bigint"
 
 
@@ -183,9 +185,11 @@ def write(
             part.close()
 
     entries = written(map_batches(rows, encode, ENTRY), "entries")
+    buckets = max(shards, -(-entries.count() // BUCKET_KEYS))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     totals = entries.groupBy("shard").agg(F.sum("n").alias("ids"), F.count("*").alias("documents"))
-    totals.withColumn("before", F.coalesce(F.sum("ids").over(before), F.lit(0))).coalesce(1).write.parquet(f"{folder}/manifest")
+    totals = totals.withColumns({"before": F.coalesce(F.sum("ids").over(before), F.lit(0)), "buckets": F.lit(buckets)})
+    totals.coalesce(1).write.parquet(f"{folder}/manifest")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, run in _runs(batches, 0):
@@ -206,7 +210,7 @@ def write(
             part.close()
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([len(slots)], pa.int64())], names=["bucket", "keys"])
 
-    bucketed = entries.select(_bucket(shards).alias("bucket"), "*").repartition(shards, "bucket").sortWithinPartitions("bucket")
+    bucketed = entries.select(_bucket(buckets).alias("bucket"), "*").repartition(shards, "bucket").sortWithinPartitions("bucket")
     map_batches(bucketed, index, "bucket int, keys bigint").write.parquet(f"{folder}/index-manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
@@ -218,8 +222,9 @@ def _bucket(buckets: int):
 # Reading
 
 
-def look_up(keys: DataFrame, folder: str, buckets: int) -> DataFrame:
+def look_up(keys: DataFrame, folder: str) -> DataFrame:
     """Entries of the *keys* (key, nth) that were written, from the index."""
+    buckets = keys.sparkSession.read.parquet(f"{folder}/manifest").agg(F.max("buckets")).first()[0] or 1
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, run in _runs(batches, 0):
@@ -284,7 +289,7 @@ def written_documents(docs: DataFrame, folder: str, id_col: str = "doc_id", text
     manifest = write(docs, folder, id_col, text_col, vocabulary, shards=shards)
     keys = docs.groupBy(column(id_col).cast("bigint").alias("key")).agg(F.count("*").alias("times"))
     keys = keys.select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1)).alias("nth"))
-    found = read(look_up(keys, folder, shards), folder, vocabulary)
+    found = read(look_up(keys, folder), folder, vocabulary)
     bases = F.broadcast(manifest.select("shard", "before"))  # one row per shard
     return found.join(bases, "shard").select(
         F.col("key").alias(id_col), (F.col("before") + F.col("start")).cast("bigint").alias("start"), F.col("n").alias("n_tokens"), "ids_crc32"

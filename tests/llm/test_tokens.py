@@ -103,12 +103,14 @@ def test_token_files_round_trip(spark, tmp_path):
     assert sorted((str(r.doc_id), r.start, r.n_tokens, r.ids_crc32) for r in found) == sorted(want)
 
 
-def test_token_files_are_found_by_key(spark, tmp_path):
+@pytest.mark.parametrize("bucket_keys", [1 << 18, 10])
+def test_token_files_are_found_by_key(spark, tmp_path, monkeypatch, bucket_keys):
+    monkeypatch.setattr(token_files, "BUCKET_KEYS", bucket_keys)
     folder = str(tmp_path / "files")
     docs = spark.range(0, 500, 2).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), "id").alias("text"))
     token_files.write(docs, folder, shards=3)
     keys = spark.range(500).select(F.col("id").alias("key"), F.lit(0).alias("nth"))
-    entries = token_files.look_up(keys, folder, 3)
+    entries = token_files.look_up(keys, folder)
     found = token_files.read(entries, folder, keep_ids=True).collect()
     assert sorted(r.key for r in found) == list(range(0, 500, 2))
     for r in found[:20]:
