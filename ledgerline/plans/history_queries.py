@@ -455,10 +455,10 @@ def _stable_log(log: DataFrame, series: Series) -> DataFrame:
     return log.drop("___Lake_sourcefile", *series.spec.volatile)
 
 
-def stable_log_sql(series: Series) -> str:
+def stable_log_sql(series: Series, count: int = SNAPSHOTS) -> str:
     names = ", ".join(n for n in series.spec.names if n not in series.spec.volatile)
     return (
-        f'WITH {log_sql(series)} SELECT {names}, md5 AS "___Lake_md5", '
+        f'WITH {log_sql(series, count)} SELECT {names}, md5 AS "___Lake_md5", '
         f'{time_sql("load_no")} AS "___Lake_load_timestamp", \'{series.spec.code}\' AS "___Lake_datasource", '
         'deleted AS "___Lake_isdeleted" FROM log'
     )

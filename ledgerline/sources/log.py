@@ -1,6 +1,10 @@
 """Change log: append-only Parquet, one partition per load.
 
-    <root>/<source>/<table>/snapshot=<YYYYMMDD_HHmm>/part-*.parquet
+    <root>/<source>/<table>/version=<n>/snapshot=<YYYYMMDD_HHmm>/part-*.parquet
+
+A rebuild writes the next version beside the current one. A version counts once
+the writer's success mark is in it, so readers see the old log until the new one
+is whole, and a rebuild that breaks off changes nothing.
 """
 
 from __future__ import annotations
@@ -19,16 +23,40 @@ from ledgerline.sources.files import parquet, partition_values, path_exists, rem
 from ledgerline.spec import LOG_TIMESTAMP, DatasetSpec
 
 PARTITION = "snapshot"
+VERSION = "version"
 
 
 def folder(root: str, spec: DatasetSpec) -> str:
     return f"{root.rstrip('/')}/{spec.source}/{spec.table}"
 
 
+def versions(spark: SparkSession, root: str, spec: DatasetSpec) -> list[int]:
+    """Numbers of the versions that are there, whole or not, in order."""
+    return sorted(int(v) for v in partition_values(spark, folder(root, spec), VERSION))
+
+
+def version_folder(root: str, spec: DatasetSpec, number: int) -> str:
+    return f"{folder(root, spec)}/{VERSION}={number}"
+
+
+def current_version(spark: SparkSession, root: str, spec: DatasetSpec) -> int | None:
+    """The newest version that was written to its end."""
+    whole = (v for v in reversed(versions(spark, root, spec)) if path_exists(spark, f"{version_folder(root, spec, v)}/_SUCCESS"))
+    return next(whole, None)
+
+
+def current_folder(spark: SparkSession, root: str, spec: DatasetSpec) -> str:
+    """Folder of the current version; of the first one to come if there is none."""
+    number = current_version(spark, root, spec)
+    if number is None:
+        number = max(versions(spark, root, spec), default=0) + 1
+    return version_folder(root, spec, number)
+
+
 def scan(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     """The change log with its partition column, for pruning by load."""
     schema = T.StructType([*spec.log_schema.fields, T.StructField(PARTITION, T.StringType())])
-    return parquet(spark, folder(root, spec), schema)
+    return parquet(spark, current_folder(spark, root, spec), schema)
 
 
 def read(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
@@ -53,11 +81,18 @@ def _write(rows: DataFrame, path: str, overwrite: str) -> None:
 
 
 def rebuild(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec) -> None:
-    """Replace the log by a replay of every Std snapshot."""
+    """Replace the log by a replay of every Std snapshot.
+
+    The version before stays for readers that have begun; what is older goes.
+    """
     rows = full_replay(
         spec, std.scan(spark, std_root, spec), std.snapshots(spark, std_root, spec), std.BY
     )
-    _write(rows, folder(root, spec), "static")
+    before, known = current_version(spark, root, spec), versions(spark, root, spec)
+    _write(rows, version_folder(root, spec, max(known, default=0) + 1), "static")
+    for number in known:
+        if number != before:
+            remove_folder(spark, version_folder(root, spec, number))
 
 
 def load(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec, stamps: list[str]) -> list[str]:
@@ -68,7 +103,8 @@ def load(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec, stamp
     a crash, writes the same partitions again instead of adding rows.
     """
     log = scan(spark, root, spec)
-    others = [s for s in partition_values(spark, folder(root, spec), PARTITION) if s not in set(stamps)]
+    path = current_folder(spark, root, spec)
+    others = [s for s in partition_values(spark, path, PARTITION) if s not in set(stamps)]
     newest = others[-1] if others else None
     # every partition after the newest of the others belongs to this batch
     state = log.where(F.col(PARTITION) <= F.lit(newest))
@@ -88,9 +124,9 @@ def load(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec, stamp
         snapshots=listed,
         by=std.BY,
     )
-    path = folder(root, spec)
     held = [s for s in taken if path_exists(spark, f"{path}/{PARTITION}={s}")]
-    _write(changes, path, "dynamic")
+    begun = current_version(spark, root, spec) is not None
+    _write(changes, path, "dynamic" if begun else "static")  # only a static write leaves the success mark
     if held:
         _drop_superseded(spark, path, changes, held)
     return taken

@@ -9,6 +9,7 @@ the header line.
 from __future__ import annotations
 
 import csv
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,15 +53,23 @@ def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]
     path = snapshot_path(F.col("_metadata.file_path"))
     lines = spark.read.text(paths).select(path.alias("file"), F.struct(F.col("_metadata.file_block_start").alias("at"), "value").alias("line"))
     first = lines.where("line.at = 0").groupBy("file").agg(F.first("line.value").alias("value"))
-    found = {r["file"]: next(csv.reader([r["value"].lstrip("\ufeff")])) for r in first.collect()}
-    return {p: tuple(found.get(p) or header(spark, p)) for p in paths}
+    found = {comparable(r["file"]): next(csv.reader([r["value"].lstrip("\ufeff")])) for r in first.collect()}
+    return {p: tuple(found.get(comparable(p)) or header(spark, p)) for p in paths}
 
 
-def has_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> bool:
-    """Whether a quoted value spans lines: some line holds an odd number of quotes."""
+def comparable(path: str) -> str:
+    """A path without the slashes by which Spark's listings and file metadata differ."""
+    return re.sub("^file:/+", "/", path)
+
+
+def with_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of *paths* in which a quoted value spans lines: some line has an odd number of quotes."""
     value = F.col("value")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    return not spark.read.text(paths).where(quotes % 2 == 1).select("value").isEmpty()
+    path = snapshot_path(F.col("_metadata.file_path"))
+    odd = spark.read.text(paths).where(quotes % 2 == 1).select(path.alias("file")).distinct()
+    found = {comparable(r["file"]) for r in odd.collect()}  # a subset of the caller's list
+    return [p for p in paths if comparable(p) in found]
 
 
 def read_files(
@@ -74,12 +83,18 @@ def read_files(
 
     Files whose quoted values stay on one line are split and read in parallel;
     only files with line breaks inside quotes need one task each. With
-    *multiline* None the files themselves are asked. A row with too few or too
-    many values fails a *strict* read of all columns; otherwise it is padded or
-    cut.
+    *multiline* None the files themselves are asked, and each is read in its
+    own way. A row with too few or too many values fails a *strict* read of all
+    columns; otherwise it is padded or cut.
     """
     if multiline is None:
-        multiline = has_quoted_line_breaks(spark, paths)
+        whole = with_quoted_line_breaks(spark, paths)
+        split = [p for p in paths if p not in set(whole)]
+        if whole and split:
+            return read_files(spark, split, names, False, strict).unionByName(
+                read_files(spark, whole, names, True, strict)
+            )
+        multiline = bool(whole)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     mode = "FAILFAST" if strict else "PERMISSIVE"
     rows = spark.read.options(**_CSV, multiLine=multiline, mode=mode).schema(schema).csv(paths)
