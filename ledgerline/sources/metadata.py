@@ -185,41 +185,59 @@ def _resolved(
 def hook_problems(
     hooks: DataFrame, datasets_: DataFrame, sources_: DataFrame, concepts: DataFrame, domains: DataFrame
 ) -> DataFrame:
+    """Distinct (id, message) of every rule a hook breaks.
+
+    Rules on groups of hooks (one id, one role, one key set) name the group as text. Two passes find
+    the bad groups, partial counts first, so a group of any size is one row after the shuffle. A third
+    names the rules each hook breaks itself and the groups it is in, and keeps the groups that are bad.
+    """
     file, ident = "hooks.csv", F.col("id")
     prefix = _text(f"{file} id ", ident)
-    found = _resolved(hooks, datasets_, sources_, concepts, domains)
-    role = ["dataset_id", "business_concept_id", F.coalesce("hook_role", F.lit("")).alias("role")]
-    twice = duplicates(hooks, role).drop("rows")
-    mixed = mixed_values(found.where("key_set is not null"), ["key_set"], "hook_encoding").select("key_set")
-    ids = [F.col("s_id"), F.col("bd_id"), F.col("bc_id")]
+    s_id, bd_id, bc_id = F.col("s_id"), F.col("bd_id"), F.col("bc_id")
     too_large = F.lit(False)
-    for one in ids:
+    for one in (s_id, bd_id, bc_id):
         too_large = too_large | ~F.coalesce(one.between(0, 255), F.lit(True))
-    named = hooks.withColumn("role", F.coalesce("hook_role", F.lit("")))
-    return _union([
-        _problems(hooks, F.col("hook_expression_dev").isNull(), _text(prefix, ": empty hook_expression_dev")),
-        _problems(hooks, F.col("hook_expression_prod").isNull(), _text(prefix, ": empty hook_expression_prod")),
-        _problems(hooks, ~F.col("hook_encoding").isin(*ENCODINGS),
-                  _text(prefix, ": unknown hook_encoding ", F.col("hook_encoding"), " (integer, bigint or varchar)")),
-        _problems(hooks, F.col("hook_role").isNotNull() & ~F.col("hook_role").rlike(whole(HOOK_ROLE)),
-                  _text(prefix, ": hook_role ", F.col("hook_role"),
-                        " must be an uppercase letter followed by letters or digits")),
-        _problems(duplicates(hooks, ["id"]), F.lit(True), _text(f"{file}: duplicate id ", ident)),
-        _problems(named.join(twice, ["dataset_id", "business_concept_id", "role"], "left_semi"), F.lit(True),
-                  _text(prefix, ": dataset ", F.col("dataset_id"), " has more than one hook for business concept ",
-                        F.col("business_concept_id"), " with role ", F.coalesce("hook_role", F.lit("(none)")),
-                        " (give each a different hook_role)")),
-        _problems(found, F.col("d_id").isNull(), _text(prefix, ": unknown dataset_id ", F.col("dataset_id"))),
-        _problems(found, F.col("d_id").isNotNull() & F.col("s_id").isNull(),
-                  _text(prefix, ": dataset ", F.col("d_code"), " has an unknown source_id")),
-        _problems(found, F.col("bc_id").isNull(),
-                  _text(prefix, ": unknown business_concept_id ", F.col("business_concept_id"))),
-        _problems(found, too_large,
-                  _text(prefix, ": source id ", ids[0], ", business domain id ", ids[1],
-                        " and business concept id ", ids[2], " must fit in one byte (0-255) for key_set_binary")),
-        _problems(found.join(mixed, "key_set", "left_semi"), F.lit(True),
-                  _text(prefix, ": key set ", F.col("key_set"), " has hooks with different hook_encoding")),
+    # The messages of the rules.
+    own = [
+        (F.col("hook_expression_dev").isNull(), _text(prefix, ": empty hook_expression_dev")),
+        (F.col("hook_expression_prod").isNull(), _text(prefix, ": empty hook_expression_prod")),
+        (~F.col("hook_encoding").isin(*ENCODINGS),
+         _text(prefix, ": unknown hook_encoding ", F.col("hook_encoding"), " (integer, bigint or varchar)")),
+        (F.col("hook_role").isNotNull() & ~F.col("hook_role").rlike(whole(HOOK_ROLE)),
+         _text(prefix, ": hook_role ", F.col("hook_role"), " must be an uppercase letter followed by letters or digits")),
+        (F.col("d_id").isNull(), _text(prefix, ": unknown dataset_id ", F.col("dataset_id"))),
+        (F.col("d_id").isNotNull() & s_id.isNull(), _text(prefix, ": dataset ", F.col("d_code"), " has an unknown source_id")),
+        (bc_id.isNull(), _text(prefix, ": unknown business_concept_id ", F.col("business_concept_id"))),
+        (too_large, _text(prefix, ": source id ", s_id, ", business domain id ", bd_id, " and business concept id ", bc_id,
+                          " must fit in one byte (0-255) for key_set_binary")),
+    ]
+    role = F.struct("dataset_id", "business_concept_id", F.coalesce("hook_role", F.lit("")).alias("role"))
+    shared = {
+        "id": (F.to_json(F.struct("id")), _text(f"{file}: duplicate id ", ident)),
+        "role": (F.to_json(role), _text(
+            prefix, ": dataset ", F.col("dataset_id"), " has more than one hook for business concept ",
+            F.col("business_concept_id"), " with role ", F.coalesce("hook_role", F.lit("(none)")),
+            " (give each a different hook_role)")),
+        "key_set": (F.col("key_set"), _text(prefix, ": key set ", F.col("key_set"), " has hooks with different hook_encoding")),
+    }
+    groups = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), key.alias("key"), message.alias("message")) for kind, (key, message) in shared.items()
     ])
+    none = F.lit(None).cast("string")
+    alone = [
+        F.when(condition, F.struct(none.alias("kind"), none.alias("key"), message.alias("message"))) for condition, message in own
+    ]
+    # a reference that occurs twice among its parents gives a hook several rows; groups count hooks
+    found = _resolved(hooks, datasets_, sources_, concepts, domains)
+    members = hooks.select("id", F.array(*[
+        F.struct(F.lit(kind).alias("kind"), shared[kind][0].alias("key")) for kind in ("id", "role")
+    ]).alias("groups"))
+    counted = members.select(F.inline("groups")).groupBy("kind", "key").count().where("count > 1").select("kind", "key")
+    mixed = mixed_values(found.where("key_set is not null"), ["key_set"], "hook_encoding")
+    bad = counted.unionByName(mixed.select(F.lit("key_set").alias("kind"), F.col("key_set").alias("key")))
+    named = found.select("id", F.explode(F.concat(F.array(*alone), groups)).alias("one")).where("one is not null").select("id", "one.*")
+    kept = named.join(bad.withColumn("bad", F.lit(True)), ["kind", "key"], "left").where("kind is null or bad")
+    return kept.select("id", "message").distinct()
 
 
 def hook_registry(
