@@ -4,7 +4,12 @@ For every node of the page's tree: characters per tag, adjusted by how much of t
 (composite text density). The density sum of a node is the sum of its children's densities; the node
 with the largest one heads the main text. The lowest density on its path to the body is the
 threshold: siblings along the path that reach it belong to the text too, so a text that is split over
-several containers stays whole. If the page marks an article (or main) part, the search is within it.
+several containers stays whole.
+
+If the page marks article or main parts, the search is narrowed to all of them (nested ones count with
+the outermost). The head is chosen over them together; every part belongs that reaches the head's
+threshold somewhere or is not mostly links. In a part only siblings along the path to its own head
+that are mostly links and below the threshold go: short paragraphs and loose text stay.
 
 What is never part of the text is taken out first: scripts, styles, menus, forms and so on by tag,
 and sidebars, notices, adverts, comments and the like by class, id or role, unless the node holds
@@ -214,6 +219,50 @@ def _inside(nodes: list[Node], scope: Node) -> list[Node]:
     return kept
 
 
+def _path(node: Node, top: Node) -> list[Node]:
+    """From *node* up to *top*."""
+    path = [node]
+    while path[-1] is not top and path[-1].parent is not None:
+        path.append(path[-1].parent)
+    return path
+
+
+def _regions(nodes: list[Node], body: Node, regions: list[Node]) -> list[Node]:
+    """The marked parts that belong to the main text; what does not belong in them becomes dropped."""
+    peak: dict[int, float] = {}  # largest density in each subtree
+    own: dict[int, Node] = {id(r): r for r in regions}  # region of each node
+    heads: dict[int, Node] = {}  # largest density sum in each region
+    for node in nodes:
+        if node.parent is None or node.dropped:
+            continue
+        region = own.get(id(node)) or own.get(id(node.parent))
+        if region is None:
+            continue
+        own[id(node)] = region
+        if node is region or node.tag in BLOCKS - PARAGRAPHS and node.sum > heads[id(region)].sum:
+            heads[id(region)] = node
+    for node in reversed(nodes):
+        if not node.dropped:
+            peak[id(node)] = max(peak.get(id(node), 0.0), node.density)
+            if node.parent is not None:
+                peak[id(node.parent)] = max(peak.get(id(node.parent), 0.0), peak[id(node)])
+    head = max(heads.values(), key=lambda n: n.sum)
+    page = min(n.density for n in _path(head, body))
+    kept = []
+    for region in regions:
+        if region is not own[id(head)] and peak[id(region)] < page and region.link_chars * 2 > region.chars:
+            continue
+        kept.append(region)
+        path = _path(heads[id(region)], region)
+        threshold = min(n.density for n in path)
+        for node, above in zip(path, path[1:]):
+            for child in above.children:
+                if isinstance(child, Node) and child is not node and not child.dropped:
+                    if child.tag in BLOCKS and peak[id(child)] < threshold and child.link_chars * 2 > child.chars:
+                        child.dropped = True
+    return kept
+
+
 def _blocks(roots: list[Node]) -> str:
     """The text of subtrees: blocks with single spaces, joined by one."""
     parts: list[str] = []
@@ -267,21 +316,15 @@ def main_text(html: str) -> str:
         return ""
     _score(nodes, body)
 
-    marked = [n for n in marked if not n.dropped and n.chars]
-    scope = None
-    if marked:
-        best = max(marked, key=lambda n: n.chars)
-        scope = _within(best, ("article", "main"))
-    if scope is not None and scope.tag == "article":
-        return _blocks([scope])
-    scope = scope or (body if body.chars else nodes[0])
+    regions = [n for n in marked if not n.dropped and n.chars and not _within(n.parent, ("article", "main"))]
+    if regions:
+        return _blocks(_regions(nodes, body, regions))
+    scope = body if body.chars else nodes[0]
     inside = [n for n in _inside(nodes, scope) if n.tag in BLOCKS - PARAGRAPHS or n.parent is None or n is scope]
     head = max(inside, key=lambda n: n.sum)
     if head.sum <= 0:
         head = scope
-    path = [head]
-    while path[-1] is not scope and path[-1].parent is not None:
-        path.append(path[-1].parent)
+    path = _path(head, scope)
     threshold = min(n.density for n in path)
     chosen = {id(head)}
     for node, above in zip(path, path[1:]):

@@ -37,6 +37,23 @@ def test_main_text_split_over_containers():
     assert html_density.main_text(html).count("goes on.") == 15
 
 
+def test_main_text_of_several_articles():
+    parts = ["<article><h2>Part %d</h2><p>%s</p><p>Short.</p></article>" % (i, f"Sentence of part {i} that goes on. " * n) for i, n in enumerate((12, 5, 1, 9))]
+    for page in ("<body>{0}%s{1}</body>", "<body>{0}<div><div>%s</div></div>{1}</body>", "<body>{0}<main>%s</main>{1}</body>"):
+        text = html_density.main_text((page % "".join(parts)).replace("{0}", NOISE[0]).replace("{1}", NOISE[1]))
+        assert [text.count(f"of part {i} ") for i in range(4)] == [12, 5, 1, 9] and text.count("Short.") == 4
+        assert "Home" not in text and "thanks" not in text
+
+
+def test_density_decides_between_and_within_articles():
+    long = "<p>" + "A long sentence without any link in it. " * 8 + "</p>"
+    links = "".join(f'<li><a href="/{i}">Teaser {i}</a></li>' for i in range(30))
+    text = html_density.main_text(
+        f"<body><article><ul>{links}</ul></article><article>Loose lead. <h1>Title</h1><div>{long * 4}</div><div><ul>{links}</ul></div><p>Of.</p></article></body>"
+    )
+    assert text.startswith("Loose lead. Title A long") and text.endswith("Of.") and "Teaser" not in text
+
+
 def test_odd_pages():
     for html in ("", "   ", "<", "<p", "</p>", "<!-- open", "<a href='x", "<script>", "&#xD800;", "<div hidden>x</div>"):
         html_density.main_text(html)
