@@ -8,10 +8,14 @@ one counts as just behind its end), and the better part is compared exactly.
 Inner products have no nearest pivots of their own; vectors get one more component that makes all
 norms equal, queries get zero there, and the order is the same as by distance.
 
+Equal vectors are indexed once, with their k + 1 smallest ids: no query needs more of them, for one
+may be its own. Pivots are sampled from distinct vectors, and all vectors that tie with the last of
+the better part are compared too, so a result does not depend on the order of arrival.
+
 An inverted file may hold a third of all vectors: files are split into segments of bounded size, and
 the queries that visit a file into blocks, so a task's group is bounded by parameters. Every vector
-is indexed; only pivots are sampled (``pivots``, or twice the root of the number of vectors, at most
-4,096).
+is indexed; only pivots are sampled (``pivots``, or twice the root of the number of distinct vectors,
+at most 4,096).
 
 Edge cases: vectors that are null, zero, of another than the commonest length, or hold a null or
 non-finite component take no part, nor do rows without an id. Rows with equal ids and components
@@ -26,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +51,13 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.size("vec") == (length.n if length else 0)).distinct()
 
 
+def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
+    """ids (ascending, the smallest *most*), vec of each distinct vector of usable rows."""
+    place = F.row_number().over(Window.partitionBy("vec").orderBy("id"))  # each task leaves so many rows of a vector before the shuffle
+    few = rows.withColumn("_n", place).where(F.col("_n") <= most).drop("_n")
+    return few.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids", "vec")
+
+
 def footrule(order: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Footrule distance of one order of pivots to those whose places of each pivot are the columns of *places*."""
     ranks = np.arange(len(order), dtype=np.int16)[:, None]
@@ -58,9 +70,10 @@ def search(
     """query_id, rank, vec_id, score of the *k* nearest of each query; *is_query* is a condition on ``id``."""
     spark = vectors.sparkSession
     rows = written(usable(vectors, id_col, vec_col), "vectors")
-    facts = rows.agg(F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("top")).first()
+    unlike = written(distinct_vectors(rows, k + 1), "distinct-vectors")
+    facts = unlike.agg(F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("top")).first()
     count = pivots or min(MOST_PIVOTS, max(16, math.ceil(2 * math.sqrt(facts.n))))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(count).select("vec").toArrow().column(0).to_pylist()
+    sample = unlike.orderBy(F.xxhash64("vec"), "vec").limit(count).select("vec").toArrow().column(0).to_pylist()
     base = np.array(sample, dtype=np.float64)
     top = facts.top or 0.0
     lift = np.sqrt(np.maximum(top - (base * base).sum(axis=1), 0)) if len(sample) else np.empty(0)
@@ -84,11 +97,12 @@ def search(
                     pa.array([o.tobytes() for o in order], pa.binary()),
                     pa.array([o[: visits if q else posts].tolist() for o, q in zip(order, query)], pa.list_(pa.int32())),
                 ],
-                names=["id", "query", "vec", "order", "files"],
+                names=["ids", "query", "vec", "order", "files"],
             )
 
-    source = rows.select("id", "vec", F.lit(False).alias("query")).unionByName(rows.where(is_query).select("id", "vec", F.lit(True).alias("query")))
-    ordered = written(map_batches(source, orders, "id bigint, query boolean, vec binary, `order` binary, files array<int>"), "orders")
+    asking = rows.where(is_query).select(F.array("id").alias("ids"), "vec", F.lit(True).alias("query"))
+    source = unlike.select("ids", "vec", F.lit(False).alias("query")).unionByName(asking)
+    ordered = written(map_batches(source, orders, "ids array<bigint>, query boolean, vec binary, `order` binary, files array<int>"), "orders")
     posted = ordered.withColumn("file", F.explode("files")).drop("files")
     # One row per pivot.
     sizes = posted.groupBy("file").agg(F.count_if(~F.col("query")).alias("o"), F.count_if(F.col("query")).alias("q"))
@@ -96,33 +110,50 @@ def search(
         "file", F.ceil(F.col("o") / SEGMENT).cast("int").alias("segments"), F.ceil(F.col("q") / QUERIES).cast("int").alias("blocks")
     )
     placed = posted.join(F.broadcast(sizes), "file")
-    mine = lambda n: F.pmod(F.xxhash64("id", "vec"), F.col(n)).cast("int")
+    mine = lambda n: F.pmod(F.xxhash64("ids", "vec"), F.col(n)).cast("int")
     all_of = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     listed = placed.where("not query").withColumn("segment", mine("segments")).withColumn("block", F.explode(all_of("blocks")))
     asked = placed.where("query").withColumn("block", mine("blocks")).withColumn("segment", F.explode(all_of("segments")))
     group, width = ["file", "segment", "block"], len(sample)
 
     def compare(objects: pa.Table, queries: pa.Table) -> pa.Table:
-        ids, asking = objects.column("id").to_numpy(), queries.column("q_id").to_numpy()
+        count = np.asarray(pc.list_value_length(objects.column("ids")), dtype=np.int64)
+        ids, start = objects.column("ids").combine_chunks().flatten().to_numpy(), np.cumsum(count) - count
+        asking = queries.column("q_ids").combine_chunks().flatten().to_numpy()
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(ids) and len(asking):
+        if len(count) and len(asking):
             unpack = lambda table, name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind).reshape(len(table), -1)
             vec, order = unpack(objects, "vec", "<f8"), unpack(objects, "order", "<u2")
-            places = np.full((width, len(ids)), size, dtype=np.int16)
-            places[order.ravel(), np.repeat(np.arange(len(ids)), size)] = np.tile(np.arange(size, dtype=np.int16), len(ids))
-            keep = max(4 * k, math.ceil(KEEP * len(ids)))
+            places = np.full((width, len(count)), size, dtype=np.int16)
+            places[order.ravel(), np.repeat(np.arange(len(count)), size)] = np.tile(np.arange(size, dtype=np.int16), len(count))
+            keep = max(4 * k, math.ceil(KEEP * len(count)))
             for q, its_vec, its_order in zip(asking, unpack(queries, "q_vec", "<f8"), unpack(queries, "q_order", "<u2")):
-                near = np.arange(len(ids))
-                if keep < len(ids):
-                    near = np.argpartition(footrule(its_order, places), keep)[:keep]
-                near = near[ids[near] != q]
+                near = np.arange(len(count))
+                if keep < len(count):
+                    far = footrule(its_order, places)
+                    near = np.flatnonzero(far <= np.partition(far, keep - 1)[keep - 1])
+                first = ids[start[near]]
+                near, first = near[other := (first != q) | (count[near] > 1)], first[other]
+                second = np.where(first == q, ids[np.minimum(start[near] + 1, len(ids) - 1)], first)  # the smallest other id
                 scores = np.einsum("ij,j->i", vec[near], its_vec)
-                best = np.lexsort((ids[near], -scores))[:k]
-                found.append((np.full(len(best), q), ids[near[best]], scores[best]))
+                ranked = np.lexsort((second, -scores))
+                most = k
+                while True:  # again only if ids repeat
+                    best = ranked[:most]
+                    n = count[near[best]]
+                    its = ids[np.repeat(start[near[best]] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                    its, score = its[its != q], np.repeat(scores[best], n)[its != q]
+                    its, score = its[placed := np.lexsort((its, -score))], score[placed]
+                    _, at = np.unique(its, return_index=True)
+                    if len(at) >= k or most >= len(ranked):
+                        break
+                    most *= 2
+                at = np.sort(at)[:k]
+                found.append((np.full(len(at), q), its[at], score[at]))
         q, o, s = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(o, pa.int64()), "score": pa.array(s, pa.float64())})
 
-    wanted = [*group, "id", "vec", "order"]
+    wanted = [*group, "ids", "vec", "order"]
     asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in wanted])
     pairs = listed.select(*wanted).groupBy(*group).cogroup(asked.groupBy(*[f"q_{c}" for c in group]))
     pairs = pairs.applyInArrow(compare, "query_id bigint, vec_id bigint, score double")

@@ -177,6 +177,33 @@ def test_nearest_vectors_recall(spark):
     assert np.mean(recall) >= 0.9
 
 
+def test_nearest_vectors_with_many_copies(spark):
+    """A third of the rows is one vector; queries at it, near it and elsewhere."""
+    rng = np.random.default_rng(11)
+    matrix = rng.normal(size=(1500, 16))
+    matrix[rng.permutation(1500)[:500]] = matrix[0]
+    matrix[20] = matrix[0] + 0.01
+    matrix[40] = matrix[0]
+    matrix[60] = 3.0
+    rows = [(i, v.tolist()) for i, v in enumerate(matrix)]
+    vectors = spark.createDataFrame(rows + [(7, matrix[0].tolist())] * 2, "vec_id bigint, embedding array<double>").repartition(5)
+    found = {}
+    for r in permutation_index.search(vectors, "id in (0, 20, 40)", k=20).orderBy("rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    copies = np.flatnonzero((matrix == matrix[0]).all(axis=1)).tolist()
+    copies = sorted({*copies, 7})
+    for q in (0, 20, 40):
+        scores = matrix @ matrix[q]
+        above = set(np.flatnonzero(scores > matrix[0] @ matrix[q] + 1e-9).tolist()) - {q}
+        want = [c for c in copies if c != q and c not in above][: 20 - len(above & set(found[q]))]
+        assert [i for i in found[q] if i in copies and i not in above] == want
+        assert len(found[q]) == 20
+    one = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(100)], "vec_id bigint, embedding array<double>")
+    assert [r.vec_id for r in permutation_index.search(one, "id = 5", k=4).orderBy("rank").collect()] == [0, 1, 2, 3]
+    twice = spark.createDataFrame([(0, [1.0, 1.0]), (1, [9.0, 9.0]), (1, [8.0, 8.0]), (2, [1.0, 2.0])], "vec_id bigint, embedding array<double>")
+    assert [r.vec_id for r in permutation_index.search(twice, "id = 0", k=2).orderBy("rank").collect()] == [1, 2]
+
+
 # Pipeline
 
 
