@@ -38,6 +38,8 @@ from ledgerline.llm.common import column, map_batches, written
 
 #: Length of the orders, files a vector is posted in, files a query visits, share of a file that is compared exactly.
 ORDER, POSTS, VISITS, KEEP = 96, 12, 24, 0.5
+#: Pivots up to which POSTS and VISITS are enough; see ``reach``.
+FEW_PIVOTS = 453
 #: Vectors in a segment of a file, queries in a block, pivots at most.
 SEGMENT, QUERIES, MOST_PIVOTS = 4096, 512, 4096
 
@@ -58,6 +60,16 @@ def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
     return few.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids", "vec")
 
 
+def reach(pivots: int) -> tuple[int, int]:
+    """Files a vector is posted in and files a query visits.
+
+    Both grow with the root of the number of pivots, so that posts * visits / pivots, and with it the
+    share of all vectors that a query compares, does not shrink with the table.
+    """
+    grown = max(1.0, math.sqrt(pivots / FEW_PIVOTS))
+    return min(math.ceil(POSTS * grown), pivots), min(math.ceil(VISITS * grown), pivots)
+
+
 def footrule(order: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Footrule distance of one order of pivots to those whose places of each pivot are the columns of *places*."""
     ranks = np.arange(len(order), dtype=np.int16)[:, None]
@@ -77,7 +89,8 @@ def search(
     base = np.array(sample, dtype=np.float64)
     top = facts.top or 0.0
     lift = np.sqrt(np.maximum(top - (base * base).sum(axis=1), 0)) if len(sample) else np.empty(0)
-    size, posts, visits = min(ORDER, len(sample)), min(POSTS, len(sample)), min(VISITS, len(sample))
+    posts, visits = reach(len(sample))
+    size = min(max(ORDER, visits), len(sample))
     shared = spark.sparkContext.broadcast((base, lift))
 
     def orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

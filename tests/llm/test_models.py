@@ -204,6 +204,13 @@ def test_nearest_vectors_with_many_copies(spark):
     assert [r.vec_id for r in permutation_index.search(twice, "id = 0", k=2).orderBy("rank").collect()] == [1, 2]
 
 
+def test_compared_share_does_not_shrink():
+    assert permutation_index.reach(5) == (5, 5) and permutation_index.reach(453) == (12, 24)
+    for n in (453, 900, 1789, 3464, 4096, 9000):
+        posts, visits = permutation_index.reach(n)
+        assert posts * visits / n >= 12 * 24 / 453 and visits <= n
+
+
 # Pipeline
 
 
