@@ -324,6 +324,19 @@ def snapshot_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_differences(even, odd)
 
 
+@query(
+    "snapshot_row_differences",
+    """SELECT text, lang, source, n_chars, surplus FROM (
+        SELECT text, lang, source, n_chars, sum(CASE WHEN doc_id % 2 = 0 THEN 1 ELSE -1 END)::BIGINT AS surplus
+        FROM documents GROUP BY ALL) WHERE surplus <> 0""",
+)
+def snapshot_row_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole rows, text included, that two halves of the documents do not share, with how often."""
+    rows = table(spark, sf_dir, "documents")
+    even, odd = (rows.where(F.col("doc_id") % 2 == i).drop("doc_id") for i in (0, 1))
+    return row_differences(even, odd)
+
+
 # Metadata derived from the dimension tables --------------------------------
 
 # regions are domains, nations concepts, part sizes sources, parts datasets and

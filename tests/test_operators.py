@@ -17,6 +17,8 @@ from ledgerline.operators import checks
 from ledgerline.operators.equality import fingerprint, row_differences, same_bytes, same_rows
 from ledgerline.operators.flatten import Structure, flatten, parse_json
 from ledgerline.operators.joins import hook_join, hot_values
+from ledgerline.plans import quality_queries  # noqa: F401
+from ledgerline.plans.registry import QUERIES
 from ledgerline.sources import log, raw, state, std
 from ledgerline.streaming.continuous import continuous_load
 
@@ -63,6 +65,13 @@ def test_same_rows(spark):
         row_differences(old, old.select("b", "a", "stamp"))
 
 
+def test_row_differences_see_the_text(spark, tmp_path):
+    rows = [(0, "one", "en", "s", 3), (1, "two", "en", "s", 3), (2, "same", "en", "s", 4), (3, "same", "en", "s", 4)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["snapshot_row_differences"](spark, str(tmp_path)).collect()
+    assert sorted((r.text, r.surplus) for r in found) == [("one", 1), ("two", -1)]
+
+
 def test_same_bytes(spark, tmp_path):
     contents = {"a": b"x,y\n1,2\n3,4\n", "same": b"x,y\n1,2\n3,4\n", "order": b"x,y\n3,4\n1,2\n", "value": b"x,y\n1,2\n3,5\n",
                 "long": b"x,y\n1,2\n3,4\n\n", "crlf": b"x,y\r1,2\n3,4\n"}
