@@ -85,19 +85,19 @@ def report(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def totals_at(found: DataFrame, limits: Sequence[int]) -> DataFrame:
-    """limit, docs_longer, truncated_total, total_tokens for any context limits of a report without groups."""
+def totals_at(found: DataFrame, limits: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
+    """by..., limit, docs_longer, truncated_total, total_tokens for any context limits of a report with the same groups."""
     each = F.explode(F.array(*[F.lit(int(x)).cast("bigint") for x in limits])).alias("limit")
+    groups = [column(c) for c in by]
     below = found.select("*", each)
     at = F.when(F.col("n_tokens") <= F.col("limit"), F.struct("n_tokens", "docs_longer", "tokens_longer"))
-    picked = below.groupBy("limit").agg(F.max(at).alias("at"), F.max("total_tokens").alias("total_tokens"), F.sum("n_docs").alias("docs"))
+    picked = below.groupBy(*groups, "limit").agg(F.max(at).alias("at"), F.max("total_tokens").alias("total_tokens"), F.sum("n_docs").alias("docs"))
     longer = F.coalesce(F.col("at.docs_longer"), F.col("docs"))
     over = F.coalesce(F.col("at.tokens_longer"), F.col("total_tokens"))
-    return picked.select(
-        "limit", longer.alias("docs_longer"), (F.col("total_tokens") - over + F.col("limit") * longer).alias("truncated_total"), "total_tokens"
-    )
+    cut = (F.col("total_tokens") - over + F.col("limit") * longer).alias("truncated_total")
+    return picked.select(*groups, "limit", longer.alias("docs_longer"), cut, "total_tokens")
 
 
-def length_at(found: DataFrame, share: float) -> DataFrame:
-    """The smallest length that at least *share* of the documents do not exceed."""
-    return found.where(F.col("quantile") >= share).agg(F.min("n_tokens").alias("n_tokens"))
+def length_at(found: DataFrame, share: float, by: Sequence[str] = ()) -> DataFrame:
+    """by..., the smallest length that at least *share* of the documents (of each group of the report) do not exceed."""
+    return found.where(F.col("quantile") >= share).groupBy(*[column(c) for c in by]).agg(F.min("n_tokens").alias("n_tokens"))

@@ -155,3 +155,18 @@ def test_token_counts_match_brute_force(spark):
     middle = length_histogram.length_at(whole, 0.5).first()[0]
     assert middle == sorted(n for _, n in counts)[(len(counts) - 1) // 2]
     assert length_histogram.report(length_histogram.lengths(docs.limit(0))).count() == 0
+
+
+def test_totals_at_limits_of_groups(spark):
+    counts = {"a": [2, 2, 9], "b": [5], None: [1, 30]}
+    rows = [(s, n, own.count(n)) for s, own in counts.items() for n in sorted(set(own))]
+    histogram = spark.createDataFrame(rows, "source string, n_tokens bigint, n_docs bigint")
+    found = length_histogram.report(histogram, ["source"])
+    totals = length_histogram.totals_at(found, [0, 4, 7, 100], ["source"]).collect()
+    assert len(totals) == 12
+    for r in totals:
+        own = counts[r.source]
+        assert r.docs_longer == sum(n > r.limit for n in own) and r.total_tokens == sum(own)
+        assert r.truncated_total == sum(min(n, r.limit) for n in own)
+    middle = {r.source: r.n_tokens for r in length_histogram.length_at(found, 0.5, ["source"]).collect()}
+    assert middle == {"a": 2, "b": 5, None: 1}
