@@ -177,8 +177,14 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.5) -> DataFrame:
-    """The rows of *docs* whose text is in one of the learned languages rather than in none or in several."""
+    """The rows of *docs* whose text has a letter and one learned language that is likelier than all others together.
+
+    Languages are weighed against each other only: a text in a language that was not learned mostly
+    stays. If nothing was learned, all rows stay.
+    """
     trees = fit(docs, id_col, text_col, lang_col)
+    if not trees.languages:
+        return docs
     names = tuple(unused(docs, "_lang_pred", "_score"))
     told = with_language(docs, trees, text_col, names)
     return told.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*[column(c) for c in docs.columns])

@@ -94,6 +94,11 @@ def test_language_of_bad_rows(spark):
     assert {(r.lang_pred, r.score) for r in nameless} == {("und", 0.0)}
 
 
+def test_nothing_is_dropped_if_nothing_was_learned(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12", None), (3, None, None)], "doc_id bigint, text string, lang string")
+    assert ppm_language.drop_unknown(docs).count() == 3
+
+
 # Mixing
 
 
