@@ -193,6 +193,15 @@ def test_replay_plans_one_shuffle_and_one_window(spark):
     assert text.count("+- Window [") == 1
 
 
+def test_a_long_list_of_snapshots_is_written(spark, monkeypatch):
+    from ledgerline.operators import snapshots as listing
+
+    observations = frame_of(spark, random_snapshots(5, 6))
+    whole = as_rows(full_replay(SPEC, observations))
+    monkeypatch.setattr(listing, "LISTED", 2)
+    assert as_rows(full_replay(SPEC, observations)) == whole
+
+
 def test_latest_limits_before_the_shuffle(spark):
     text = plan(versions.latest(SPEC, empty_log(spark, SPEC).unionByName(full_replay(SPEC, frame_of(spark, [{(1, "p"): (1.0, "n", 0)}])))))
     assert "WindowGroupLimit" in text
