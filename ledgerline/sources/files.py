@@ -17,6 +17,25 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jvm_path).isDirectory()
 
 
+def parts_of(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and bytes of a file, or of the files of a folder in the order of their names."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
+    parts = [(status.getPath().toString(), status.getLen()) for status in found if status.isFile()]
+    return sorted(p for p in parts if not p[0].rsplit("/", 1)[1].startswith(("_", ".")))
+
+
+def head_of(spark: SparkSession, path: str, size: int) -> str:
+    """The first *size* bytes of a file as text; no more is read."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(jvm_path)
+    try:
+        io = spark._jvm.org.apache.commons.io
+        return io.IOUtils.toString(io.input.BoundedInputStream(stream, size), "UTF-8")
+    finally:
+        stream.close()
+
+
 def partition_values(spark: SparkSession, folder: str, name: str) -> list[str]:
     """Values of the partition column *name* below *folder*, in order, from folder names alone."""
     if not path_exists(spark, folder):

@@ -10,18 +10,26 @@ from __future__ import annotations
 
 import csv
 import re
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.parse import file_month, file_stamp, snapshot_path, stamp_time
-from ledgerline.sources.files import listing
+from ledgerline.sources import quoted
+from ledgerline.sources.files import head_of, listing, parts_of
+from ledgerline.sources.quoted import first_record
 from ledgerline.spec import RAW_FILENAME, RAW_TIMESTAMP, RAW_YEAR_MONTH, DatasetSpec
 
 # Quoting of the export format.
 _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
+#: Bytes that are read first to find a header, and files that are asked at once.
+HEAD_BYTES, HEADS_AT_ONCE = 1 << 16, 16
+_PATH = "___path"
+
 
 def folder(root: str, spec: DatasetSpec) -> str:
     return f"{root.rstrip('/')}/{spec.source}/{spec.table}"
@@ -41,20 +49,43 @@ def list_snapshots(files: DataFrame) -> DataFrame:
     return files.groupBy("file").agg(F.min("time").alias("min_time")).orderBy("min_time", "file")
 
 
+@dataclass(frozen=True)
+class Head:
+    """What the beginning of a raw file tells: column names as spelled, line end, bytes of its largest part."""
+
+    names: tuple[str, ...]
+    line_end: str
+    largest: int
+
+
+def head(spark: SparkSession, path: str) -> Head:
+    """Reads the first record and no more than twice its bytes (``HEAD_BYTES`` at least)."""
+    parts = parts_of(spark, path)
+    for part, length in parts:
+        size, record = HEAD_BYTES, None
+        while length and record is None:
+            record = first_record(head_of(spark, part, size).removeprefix("\ufeff"), whole=size >= length)
+            size *= 2
+        if record:
+            end = "\r\n" if record.endswith("\r") else "\n"
+            return Head(tuple(next(csv.reader([record.removesuffix("\r")], strict=False), ())), end, max(n for _, n in parts))
+    return Head((), "\n", 0)
+
+
+def heads(spark: SparkSession, paths: list[str]) -> dict[str, Head]:
+    """The heads of many files, some at a time: a few bytes of each, none of the body."""
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        return dict(zip(paths, pool.map(lambda path: head(spark, path), paths), strict=True))
+
+
 def header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one file, as spelled in it. Reads its first line."""
-    return tuple(spark.read.options(**_CSV).csv(path).columns)
+    """Column names of one file, as spelled in it."""
+    return head(spark, path).names
 
 
 def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """Column names of many files: one distributed read takes the first line of each."""
-    if not paths:
-        return {}
-    path = snapshot_path(F.col("_metadata.file_path"))
-    lines = spark.read.text(paths).select(path.alias("file"), F.struct(F.col("_metadata.file_block_start").alias("at"), "value").alias("line"))
-    first = lines.where("line.at = 0").groupBy("file").agg(F.first("line.value").alias("value"))
-    found = {comparable(r["file"]): next(csv.reader([r["value"].lstrip("\ufeff")])) for r in first.collect()}
-    return {p: tuple(found.get(comparable(p)) or header(spark, p)) for p in paths}
+    """Column names of many files."""
+    return {path: found.names for path, found in heads(spark, paths).items()}
 
 
 def comparable(path: str) -> str:
@@ -72,41 +103,78 @@ def with_quoted_line_breaks(spark: SparkSession, paths: list[str]) -> list[str]:
     return [p for p in paths if comparable(p) in found]
 
 
+def _plain(spark: SparkSession, paths: list[str], names: tuple[str, ...], options: dict[str, str], **more) -> DataFrame:
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = spark.read.options(**_CSV, **options, **more).schema(schema).csv(paths)
+    return rows.select(*[F.col(_quoted(n)) for n in names], F.col("_metadata.file_path").alias(_PATH))
+
+
+def _split_quoted(spark: SparkSession, paths: list[str], names: tuple[str, ...], options: dict[str, str], line_end: str) -> DataFrame:
+    found = quoted.records(spark, paths)
+    text = F.col("text")
+    if line_end == "\r\n":
+        text = F.when(text.endswith("\r"), F.substring(text, 1, F.length(text) - 1)).otherwise(text)
+    found = found.select(F.col("path").alias(_PATH), text.alias("text")).where("text <> ''")
+    return found.select(*quoted.values(F.col("text"), names, {"quote": '"', "escape": '"', **options}), _PATH)
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """Bytes of text that Spark gives one task at most."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)i?b?", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    return int(number) << (10 * " kmgt".index(unit or " "))
+
+
 def read_files(
     spark: SparkSession,
     paths: list[str],
     names: tuple[str, ...],
     multiline: bool | None = None,
     strict: bool = True,
+    malformed: str | None = None,
 ) -> DataFrame:
     """All-text rows of files that share the header *names*, with provenance.
 
-    Files whose quoted values stay on one line are split and read in parallel;
-    only files with line breaks inside quotes need one task each. With
-    *multiline* None the files themselves are asked, and each is read in its
-    own way. A row with too few or too many values fails a *strict* read of all
-    columns; otherwise it is padded or cut.
+    Files whose quoted values stay on one line are split by Spark's reader. Those with line breaks
+    inside quotes are read whole, one task each, as long as they are no larger than a split; larger ones
+    are split, too (``quoted``). With *multiline* None the files themselves are asked. Text inside quotes
+    is kept to the byte: each file is read with the line end of its header. A row with too few or too
+    many values fails a *strict* read of all columns; otherwise it is padded or cut, and the column
+    *malformed*, if asked for, has its text.
     """
-    if multiline is None:
-        whole = with_quoted_line_breaks(spark, paths)
-        split = [p for p in paths if p not in set(whole)]
-        if whole and split:
-            return read_files(spark, split, names, False, strict).unionByName(
-                read_files(spark, whole, names, True, strict)
-            )
-        multiline = bool(whole)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    rows = spark.read.options(**_CSV, multiLine=multiline, mode=mode).schema(schema).csv(paths)
-    path = snapshot_path(F.col("_metadata.file_path"))
-    return rows.select(
-        *[F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names],
+    options = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
+    read = names
+    if malformed:
+        options, read = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": malformed}, (*names, malformed)
+    whole = [] if multiline is False else paths if multiline else with_quoted_line_breaks(spark, paths)
+    inside = set(whole)
+    groups: dict[tuple[bool, str], list[str]] = {}
+    if whole:
+        limit = split_bytes(spark)
+        for path, found in heads(spark, whole).items():
+            groups.setdefault((found.largest > limit, found.line_end), []).append(path)
+    rows = [
+        _split_quoted(spark, members, read, options, end) if large else _plain(spark, members, read, options, multiLine=True, lineSep=end)
+        for (large, end), members in groups.items()
+    ]
+    if len(inside) < len(paths):
+        rows.append(_plain(spark, [p for p in paths if p not in inside], read, options))
+    united = rows[0]
+    for more in rows[1:]:
+        united = united.unionByName(more)
+    path = snapshot_path(F.col(_PATH))
+    return united.select(
+        *[F.nullif(F.col(_quoted(n)), F.lit("")).alias(n) for n in names],
         path.alias(RAW_FILENAME),
         file_month(path).alias(RAW_YEAR_MONTH),
         stamp_time(file_stamp(path)).alias(RAW_TIMESTAMP),
+        *([F.col(malformed)] if malformed else []),
     )
 
 
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def scan(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     """Every raw row of a dataset, text columns united by name.
 
