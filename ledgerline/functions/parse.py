@@ -45,6 +45,19 @@ def typed(column: SpecColumn) -> Column:
     return value.alias(column.name)
 
 
+def typed_or_null(column: SpecColumn) -> tuple[Column, Column]:
+    """Typed value of a raw text column, NULL where the text is not of the type, and whether that is so."""
+    raw = F.col(f"`{column.name}`")
+    if column.parse == FLAG:
+        return parse_flag(raw).alias(column.name), ~F.coalesce(raw, F.lit("")).isin("Y", "N")
+    if column.parse == DATE:
+        value = F.try_to_date(raw, "d.M.yyyy")
+    else:
+        raw = blank_to_null(raw) if column.parse == BLANK else raw
+        value = raw.try_cast(column.type)
+    return value.alias(column.name), raw.isNotNull() & value.isNull()
+
+
 def snapshot_path(path: Column) -> Column:
     """Path of the snapshot a file belongs to: itself, or its folder of parts."""
     return F.regexp_replace(path, PART_PATTERN, "$1")

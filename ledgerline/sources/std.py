@@ -1,24 +1,33 @@
-"""Std layer: typed Parquet, one partition per snapshot.
+"""Std layer: typed Parquet, one partition per snapshot, and a journal of what was converted.
 
     <root>/<source>/<table>/year_month=<YYYY-MM>/snapshot=<YYYYMMDD_HHmm>/part-*.parquet
 
 A snapshot is a folder of files written in parallel. Its name in the derived
 columns keeps the one-file form
 ``<root>/<source>/<table>/year_month=<YYYY-MM>/<source>_<table>_<stamp>.parquet``.
+
+A conversion parses its text once, into a staged table of typed rows in which values that do not fit are
+marked. The checks read that table; what passes is published from it. The journal
+``<root>/_conversions/<source>/<table>`` then gets a row per export, also for one without rows, which
+leaves no partition. What is pending follows from the journal; a partition that someone removes is
+converted again only by a rebuild.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.parse import file_month, file_stamp, stamp_time, typed
+from ledgerline.functions.parse import MONTH_PATTERN, STAMP_PATTERN, file_month, file_stamp, stamp_time, typed, typed_or_null
 from ledgerline.operators.checks import CheckError, check_rows, check_schema, check_unique
 from ledgerline.operators.changes import with_digest
+from ledgerline.operators.snapshots import local_relation
+from ledgerline.session import work_folder
 from ledgerline.sources import raw
-from ledgerline.sources.files import listing, parquet
+from ledgerline.sources.files import listing, parquet, path_exists
 from ledgerline.spec import (
     BLANK,
     FLAG,
@@ -32,6 +41,11 @@ from ledgerline.spec import (
 #: Partition columns; they identify a snapshot in its rows.
 BY = ("year_month", "snapshot")
 
+JOURNAL = T.StructType(
+    [*[T.StructField(n, T.StringType()) for n in ("table", "year_month", "stamp")], T.StructField("rows", T.LongType())]
+)
+_MALFORMED, _WRONG = "___malformed", "___wrong"
+
 
 def folder(root: str, spec: DatasetSpec) -> str:
     return f"{root.rstrip('/')}/{spec.source}/{spec.table}"
@@ -100,6 +114,9 @@ def publish(spec: DatasetSpec, rows: DataFrame, root: str, raw_file: str) -> Non
     stamped = rows.select(*spec.names, F.lit(raw_file).alias(RAW_FILENAME))
     path = F.col(RAW_FILENAME)
     write(spec, stamped.select(*spec.names, file_month(path).alias("year_month"), file_stamp(path).alias("snapshot")), root)
+    spark, (month, stamp) = rows.sparkSession, snapshot_of(raw_file)
+    there = scan(spark, root, spec).where((F.col("year_month") == month) & (F.col("snapshot") == stamp))
+    note_conversions(spark, root, spec, {(month, stamp): there.count()})  # footers only
 
 
 def scan(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
@@ -133,7 +150,19 @@ def snapshots(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     )
 
 
-def converted(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
+# Journal
+
+
+def journal_folder(root: str, spec: DatasetSpec) -> str:
+    return f"{root.rstrip('/')}/_conversions/{spec.source}/{spec.table}"
+
+
+def journal(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
+    """table, year_month, stamp and rows of every conversion; rows is NULL for those found, not made, here."""
+    return parquet(spark, journal_folder(root, spec), JOURNAL)
+
+
+def _listed(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     """(table, year_month, stamp) that exist in Std, from the listing."""
     path = F.col("path")
     return (
@@ -147,6 +176,23 @@ def converted(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
     )
 
 
+def note_conversions(spark: SparkSession, root: str, spec: DatasetSpec, counts: dict[tuple[str, str], int]) -> None:
+    """Add a row for each (year_month, stamp); the first journal also takes over what is already there."""
+    path = journal_folder(root, spec)
+    rows = local_relation(spark, [(spec.table, *key, n) for key, n in counts.items()], JOURNAL)
+    if not path_exists(spark, path):
+        there = _listed(spark, root, spec).join(rows.select("year_month", "stamp"), ["year_month", "stamp"], "left_anti")
+        rows = rows.unionByName(there.withColumn("rows", F.lit(None).cast("bigint")))
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def converted(spark: SparkSession, root: str, spec: DatasetSpec) -> DataFrame:
+    """(table, year_month, stamp) that were converted: from the journal, or from the listing if there is none yet."""
+    if path_exists(spark, journal_folder(root, spec)):
+        return journal(spark, root, spec).select("table", "year_month", "stamp").distinct()
+    return _listed(spark, root, spec)
+
+
 def pending(files: DataFrame, tables: list[str], existing: DataFrame, rebuild: bool = False) -> DataFrame:
     """Raw files that lack a Std snapshot for any of *tables*; all with *rebuild*."""
     if rebuild:
@@ -155,39 +201,85 @@ def pending(files: DataFrame, tables: list[str], existing: DataFrame, rebuild: b
     return wanted.join(existing, ["table", "year_month", "stamp"], "left_anti").select("file", "time").distinct()
 
 
-def is_data_error(error: Exception) -> bool:
-    """Whether what went wrong is in the data: a broken rule, a bad value, a malformed row.
+# Conversion
+
 
-    A lost executor, a full disk or a missing permission is not, and is not tried again here.
+def staged(spark: SparkSession, spec: DatasetSpec, paths: list[str], names: tuple[str, ...]) -> DataFrame:
+    """Typed rows of raw files with the header *names*, and whether something is wrong with a row.
+
+    The text is parsed here, once; the result is a table below the work folder.
     """
-    if isinstance(error, CheckError):
-        return True
-    text = str(error)
-    return any(mark in text for mark in ("CAST_INVALID_INPUT", "CANNOT_PARSE", "MALFORMED", "USER_RAISED_EXCEPTION", "NUMERIC_VALUE_OUT_OF_RANGE"))
+    rows = raw.read_files(spark, paths, names, spec.multiline, malformed=_MALFORMED)
+    wrong = F.col(_MALFORMED).isNotNull()
+    values = []
+    for column in spec.columns:
+        value, unfit = typed_or_null(column)
+        values.append(value)
+        wrong = wrong | unfit
+        if column.name in spec.keys:
+            text = F.col(f"`{column.name}`")
+            wrong = wrong | (F.nullif(F.trim(text), F.lit("")) if column.parse == BLANK else text).isNull()
+    path = F.col(RAW_FILENAME)
+    rows = rows.select(*values, file_month(path).alias("year_month"), file_stamp(path).alias("snapshot"), wrong.alias(_WRONG))
+    folder = work_folder(spark, "std-stage")
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def examined(spec: DatasetSpec, rows: DataFrame) -> tuple[dict[tuple[str, str], int], set[tuple[str, str]]]:
+    """Rows of each staged snapshot, and the snapshots that break a rule; reads flags and keys, no text."""
+    counts = rows.groupBy(*BY).agg(F.count("*").alias("rows"), F.max(_WRONG).alias("wrong")).collect()  # one row per snapshot
+    twice = rows.groupBy(*BY, *spec.keys).count().where("count > 1").select(*BY).distinct().collect()
+    bad = {(r["year_month"], r["snapshot"]) for r in counts if r["wrong"]} | {tuple(r) for r in twice}
+    return {(r["year_month"], r["snapshot"]): r["rows"] for r in counts}, bad
 
 
-def _convert(spark: SparkSession, spec: DatasetSpec, std_root: str, paths: list[str], names: tuple[str, ...]) -> None:
-    rows = raw.read_files(spark, paths, names, spec.multiline)
-    typed_ = typed_rows(spec, rows)
-    keyed = typed_.select(*BY, *spec.keys)
-    if not keyed.groupBy(*keyed.columns).count().where("count > 1").isEmpty():
-        raise CheckError(f"{spec.code}: duplicate key")
-    write(spec, typed_, std_root)
+def snapshot_of(path: str) -> tuple[str, str]:
+    """(year_month, stamp) of a raw file path."""
+    month, stamp = re.search(MONTH_PATTERN, path), re.search(STAMP_PATTERN, path)
+    if not month or not stamp:
+        raise ValueError(f"Not a Raw file path: {path}")
+    return month.group(1), stamp.group(1)
+
+
+def explain_failure(spark: SparkSession, spec: DatasetSpec, std_root: str, path: str, names: tuple[str, ...]) -> None:
+    """Read a file that broke a rule once more, strictly, to raise what is wrong with it."""
+    rows = raw.read_files(spark, [path], names, spec.multiline)
+    check_rows(spec, rows, path, folder(std_root, spec))
+    check_unique(spec, rows, path, folder(std_root, spec))
+    typed_rows(spec, rows).write.format("noop").mode("overwrite").save()
+    raise CheckError(f"{path} breaks a rule of {spec.code}")
 
 
 def standardize(spark: SparkSession, spec: DatasetSpec, std_root: str, path: str) -> None:
     """Convert one raw file. Every failure names the file and what is wrong."""
     names = raw.header(spark, path)
     check_schema(spec, names, path)
-    try:
-        _convert(spark, spec, std_root, [path], names)
-    except (PySparkException, CheckError) as e:
-        if not is_data_error(e):
-            raise
-        rows = raw.read_files(spark, [path], names, spec.multiline)
-        check_rows(spec, rows, path, folder(std_root, spec))
-        check_unique(spec, rows, path, folder(std_root, spec))
-        raise
+    _convert(spark, spec, std_root, {path: names})
+
+
+def _convert(spark: SparkSession, spec: DatasetSpec, std_root: str, headers: dict[str, tuple[str, ...]]) -> None:
+    """Publish files in order up to the first that breaks a rule, and raise what is wrong with that one."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, names in headers.items():
+        groups.setdefault(names, []).append(path)
+    rows = None
+    for names, members in groups.items():
+        part = staged(spark, spec, members, names)
+        rows = part if rows is None else rows.unionByName(part)
+    counts, bad = examined(spec, rows)
+    paths = list(headers)
+    broken = next((k for k, path in enumerate(paths) if snapshot_of(path) in bad), len(paths))
+    good = {snapshot_of(path): counts.get(snapshot_of(path), 0) for path in paths[:broken]}
+    filled = [key for key, n in good.items() if n]
+    if filled:
+        if broken < len(paths):
+            rows = rows.where(F.struct(*BY).isin([F.struct(F.lit(m), F.lit(s)) for m, s in filled]))
+        write(spec, rows.select(*spec.names, *BY), std_root)
+    if good:
+        note_conversions(spark, std_root, spec, good)
+    if broken < len(paths):
+        explain_failure(spark, spec, std_root, paths[broken], headers[paths[broken]])
 
 
 def standardize_all(
@@ -195,9 +287,8 @@ def standardize_all(
 ) -> int:
     """Convert every pending raw file; return how many.
 
-    Files with the expected header are converted together in one job. If that
-    fails, they are taken one by one, oldest first: those before the bad one
-    are stored and the bad one raises its own message.
+    All files are staged and published together. The first bad one, by time, stops the load: those before
+    it are stored, and it raises its own message.
     """
     files = raw.snapshot_files(spark, raw_root, spec)
     todo = [
@@ -208,18 +299,8 @@ def standardize_all(
     ]
     headers = raw.headers(spark, todo)
     drifted = next((k for k, path in enumerate(todo) if set(headers[path]) != set(spec.names)), len(todo))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in todo[:drifted]:  # files before the first drifted one are converted together
-        groups.setdefault(headers[path], []).append(path)
-    try:
-        for names, paths in groups.items():
-            _convert(spark, spec, std_root, paths, names)
-    except (PySparkException, CheckError) as e:
-        if not is_data_error(e):
-            raise
-        for path in todo:  # bad data: one by one, so that the bad file names itself
-            standardize(spark, spec, std_root, path)
+    if drifted:
+        _convert(spark, spec, std_root, {path: headers[path] for path in todo[:drifted]})
     if drifted < len(todo):
         check_schema(spec, headers[todo[drifted]], todo[drifted])
     return len(todo)
-
