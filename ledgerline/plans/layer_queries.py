@@ -28,40 +28,71 @@ from ledgerline.spec import RAW_TIMESTAMP, RAW_YEAR_MONTH, Column, DatasetSpec,
 TEXTS = DatasetSpec("star", "texts", (Column("doc_id"), Column("source"), Column("text")), ("doc_id",))
 
 
+#: Text of the exports: as it is, with quotes and line feeds (which the writer of the export turns into its
+#: line end, CR LF), with quotes and CR LF.
+_SAID = "CASE month WHEN 1 THEN nullif(text, '') WHEN 2 THEN replace('say \"' || text || chr(10) || '\", twice', chr(10), chr(13) || chr(10)) ELSE 'say \"' || text || chr(13) || chr(10) || '\", twice' || chr(13) END"
+
+
 @query(
     "raw_quoted",
-    """WITH files AS (
-        SELECT unnest([1, 2, 3]) AS month)
+    f"""WITH files AS (
+        SELECT unnest([1, 2, 3, 4]) AS month)
     SELECT doc_id::VARCHAR AS doc_id, source,
-           CASE month WHEN 1 THEN nullif(text, '') WHEN 2 THEN 'say "' || text || chr(10) || '", twice'
-                ELSE nullif(translate(text, chr(10) || chr(13), '  '), '') END AS text,
-           CASE WHEN month = 3 THEN lang END AS lang,
+           CASE month WHEN 4 THEN nullif(translate(text, chr(10) || chr(13), '  '), '') ELSE {_SAID} END AS text,
+           CASE WHEN month = 4 THEN lang END AS lang,
            '2026-0' || month AS "___Raw_year_month", make_timestamp(2026, month, 1, 10, 0, 0.0) AS "___Raw_file_timestamp"
     FROM documents, files""",
 )
 def raw_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts through three exports, read back in one scan.
+    """Whole texts through four exports, read back in one scan.
 
-    The first begins with a byte order mark, the second ends its lines with CR LF and has quotes and
-    line breaks in every text, the third has other columns in another order and one line per row.
+    The first begins with a byte order mark; the second ends its lines with CR LF, also inside the quoted
+    texts; the third ends its lines with line feeds and has CR LF in every text, and a CR
+    before the closing quote; the last has other columns in another order and one line per row.
     """
     root = work_folder(spark, "raw-quoted")
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "lang")
     said = F.concat(F.lit('say "'), F.col("text"), F.lit('\n", twice'))
+    with_cr = F.concat(F.lit('say "'), F.col("text"), F.lit('\r\n", twice\r'))
     exports = {
         1: (docs.select(F.col("doc_id").alias("\ufeffdoc_id"), "source", "text"), "\n"),
         2: (docs.select("doc_id", "source", said.alias("text")), "\r\n"),
-        3: (docs.select(F.translate("text", "\n\r", "  ").alias("text"), "doc_id", "lang", "source"), "\n"),
+        3: (docs.select("doc_id", "source", with_cr.alias("text")), "\n"),
+        4: (docs.select(F.translate("text", "\n\r", "  ").alias("text"), "doc_id", "lang", "source"), "\n"),
     }
     for (seq, month, stamp), (rows, end) in zip(snapshot_dates(len(exports)), exports.values(), strict=True):
         path = f"{raw.folder(f'{root}/raw', TEXTS)}/year_month={month}/texts_{stamp}.csv"
-        rows.write.options(
-            header=True, quote='"', escape='"', lineSep=end, emptyValue="", nullValue="",
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        ).csv(path)
+        _write_texts(rows, path, end)
     return raw.scan(spark, f"{root}/raw", TEXTS).select(*TEXTS.names, "lang", RAW_YEAR_MONTH, RAW_TIMESTAMP)
 
 
+def _write_texts(rows: DataFrame, path: str, end: str) -> None:
+    rows.write.options(
+        header=True, quote='"', escape='"', lineSep=end, emptyValue="", nullValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    ).csv(path)
+
+
+@query(
+    "raw_split_quoted",
+    f"""WITH files AS (SELECT unnest([2, 3]) AS month)
+    SELECT doc_id::VARCHAR AS doc_id, source, {_SAID} AS text, month FROM documents, files""",
+)
+def raw_split_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two exports with line breaks in every text, one with each line end, read in splits that begin anywhere."""
+    root = work_folder(spark, "raw-split")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    said = F.concat(F.lit('say "'), F.col("text"), F.lit('\n", twice'))
+    with_cr = F.concat(F.lit('say "'), F.col("text"), F.lit('\r\n", twice\r'))
+    united = None
+    for month, text, end in ((2, said, "\r\n"), (3, with_cr, "\n")):
+        path = f"{root}/year_month=2026-0{month}/texts_20260{month}01_1000.csv"
+        _write_texts(docs.select("doc_id", "source", text.alias("text")), path, end)
+        rows = raw.read_split(spark, [path], TEXTS.names).select(*TEXTS.names, F.lit(month).alias("month"))
+        united = rows if united is None else united.unionByName(rows)
+    return united
+
+
 # A dataset that feeds three tables -----------------------------------------
 
 EVENTS = DatasetSpec("star", "events", columns("event_id bigint\nevent_type string\nk bigint"), ("event_id",))
@@ -159,15 +190,39 @@ def nested_to_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Loads of single exports ---------------------------------------------------
 
 
-def _export(spark: SparkSession, sf_dir: str, ledger: Ledger, series: Series, seq: int) -> str:
-    """One snapshot of a series as a CSV export; its path."""
+def _export(spark: SparkSession, sf_dir: str, ledger: Ledger, series: Series, seq: int, empty: bool = False) -> str:
+    """One snapshot of a series as a CSV export, or its header alone; its path."""
     _, month, stamp = snapshot_dates(seq)[-1]
     path = f"{raw.folder(ledger.raw_root, series.spec)}/year_month={month}/{series.spec.table}_{stamp}.csv"
     rows = snapshot_rows(spark, sf_dir, series, seq).where(F.col("seq") == seq)
-    rows.select(*series.spec.names).write.option("header", True).csv(path)
+    rows.select(*series.spec.names).where(F.lit(not empty)).write.option("header", True).csv(path)
     return path
 
 
+@query(
+    "empty_exports",
+    f"""WITH {series_sql(CUSTOMER)},
+    counts AS (SELECT seq, count(*) AS n FROM obs WHERE seq < 4 GROUP BY seq)
+    SELECT '2026-0' || seq AS year_month, strftime({time_sql("seq")}, '%Y%m%d_%H%M') AS stamp,
+           CASE WHEN seq = 2 THEN 0 ELSE n END AS rows, 2 AS first_load, 0 AS second_load, 1 AS third_load FROM counts""",
+)
+def empty_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The journal after three loads: of an export and one that has a header only, of nothing new, and of one more."""
+    spec = CUSTOMER.spec
+    ledger = Ledger(spark, work_folder(spark, "empty-exports"))
+
+    def convert() -> int:
+        return std.standardize_all(spark, spec, ledger.raw_root, ledger.std_root)
+
+    for seq in (1, 2):
+        _export(spark, sf_dir, ledger, CUSTOMER, seq, empty=seq == 2)
+    loads = [convert(), convert()]
+    _export(spark, sf_dir, ledger, CUSTOMER, 3)
+    loads.append(convert())
+    counted = [F.lit(n).alias(name) for n, name in zip(loads, ("first_load", "second_load", "third_load"))]
+    return std.journal(spark, ledger.std_root, spec).select("year_month", "stamp", "rows", *counted)
+
+
 @query("resumed_loads", stable_log_sql(CUSTOMER, 3))
 def resumed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads: one breaks off before Std, one after it, one runs through.

@@ -152,6 +152,26 @@ def read_files(
         limit = split_bytes(spark)
         for path, found in heads(spark, whole).items():
             groups.setdefault((found.largest > limit, found.line_end), []).append(path)
+    return _with_provenance(_united(spark, paths, read, options, groups, inside), names, malformed)
+
+
+def read_split(spark: SparkSession, paths: list[str], names: tuple[str, ...]) -> DataFrame:
+    """Like ``read_files`` for files with line breaks inside quotes, of any size: all are split."""
+    groups: dict[tuple[bool, str], list[str]] = {}
+    for path, found in heads(spark, paths).items():
+        groups.setdefault((True, found.line_end), []).append(path)
+    return _with_provenance(_united(spark, paths, names, {"mode": "FAILFAST"}, groups, set(paths)), names, None)
+
+
+def _united(
+    spark: SparkSession,
+    paths: list[str],
+    read: tuple[str, ...],
+    options: dict[str, str],
+    groups: dict[tuple[bool, str], list[str]],
+    inside: set[str],
+) -> DataFrame:
+    """Rows of files with line breaks inside quotes, by size and line end, and of those without."""
     rows = [
         _split_quoted(spark, members, read, options, end) if large else _plain(spark, members, read, options, multiLine=True, lineSep=end)
         for (large, end), members in groups.items()
@@ -161,8 +181,12 @@ def read_files(
     united = rows[0]
     for more in rows[1:]:
         united = united.unionByName(more)
+    return united
+
+
+def _with_provenance(rows: DataFrame, names: tuple[str, ...], malformed: str | None) -> DataFrame:
     path = snapshot_path(F.col(_PATH))
-    return united.select(
+    return rows.select(
         *[F.nullif(F.col(_quoted(n)), F.lit("")).alias(n) for n in names],
         path.alias(RAW_FILENAME),
         file_month(path).alias(RAW_YEAR_MONTH),
