@@ -212,33 +212,53 @@ def links(prints: DataFrame, name: str = "fingerprint", distance: int = 2, segme
     return near.unionByName(same).distinct()
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, segments: int = 7) -> DataFrame:
-    """id, fingerprint (16 hex digits) and component_id of each row of *docs*."""
-    narrow = docs.select(column(id_col).alias("_id"), column(text_col).alias("_text"))
-    prints = written(with_fingerprint(narrow, "_text", "_print"), "fingerprints")
-    each = prints.groupBy("_print").agg(F.min("_id").alias("_low"))
-    each = written(each, "distinct-fingerprints")
+#: A class with more than this part of all distinct fingerprints is joined apart; there are fewer such classes than this.
+SHARE = 1000
+
+
+def _named(prints: DataFrame, distance: int, segments: int) -> DataFrame:
+    """_print and _first of each distinct fingerprint: (_id, _digest) of the first row of its class."""
+    row = F.struct(F.col("_id").isNull().alias("none"), "_id", "_digest")  # a row with an id comes before one without
+    each = written(prints.groupBy("_print").agg(F.min(row).alias("_low")), "distinct-fingerprints")
     classes = components(links(each.select("_print"), "_print", distance, segments))
-    members = each.join(classes.withColumnRenamed("node", "_print"), "_print", "left")
-    members = members.select("_print", "_low", F.coalesce("component", "_print").alias("_class"), F.col("component").isNotNull().alias("_linked"))
-    members = written(members, "classes")
     # Only classes of several fingerprints need a second look; a fingerprint of its own has its answer.
-    lows = members.where("_linked").groupBy("_class").agg(F.min("_low").alias("_least"))
-    named = members.join(lows, "_class", "left").select("_print", F.when(F.col("_linked"), F.col("_least")).otherwise(F.col("_low")).alias("_component"))
-    joined = prints.join(named, "_print")
-    return joined.select(
-        F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("_print"), 16, "0")).alias("fingerprint"), F.col("_component").alias("component_id")
+    members = each.join(classes.withColumnRenamed("node", "_print"), "_print", "left")
+    members = written(members.select("_print", "_low", F.col("component").alias("_class")), "classes")
+    linked = members.where("_class is not null")
+    lows = written(linked.groupBy("_class").agg(F.min("_low").alias("_first"), F.count("*").alias("_n")), "class-lows")
+    limit = members.count() // SHARE + 1
+    wide = F.broadcast(lows.where(F.col("_n") > limit).drop("_n"))  # fewer than SHARE rows
+    rest = linked.join(wide.select("_class"), "_class", "left_anti").join(lows.where(F.col("_n") <= limit).drop("_n"), "_class")
+    alone = members.where("_class is null").select("_print", F.col("_low").alias("_first"))
+    return alone.unionByName(linked.join(wide, "_class").unionByName(rest).select("_print", "_first"))
+
+
+def _classified(docs: DataFrame, id_col: str, text_col: str, distance: int, segments: int) -> DataFrame:
+    """_id, _digest (of the text), _print and _first of each row."""
+    text = F.coalesce(column(text_col), F.lit(""))
+    narrow = docs.select(column(id_col).alias("_id"), F.xxhash64(text).alias("_digest"), text.alias("_text"))
+    prints = written(with_fingerprint(narrow, "_text", "_print"), "fingerprints")
+    return prints.join(_named(prints, distance, segments), "_print")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, segments: int = 7) -> DataFrame:
+    """id, fingerprint (16 hex digits) and component_id of each row of *docs*."""
+    found = _classified(docs, id_col, text_col, distance, segments)
+    return found.select(
+        F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("_print"), 16, "0")).alias("fingerprint"), F.col("_first._id").alias("component_id")
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, segments: int = 7) -> DataFrame:
-    """The rows of *docs* whose id is the smallest of its class, with all their columns.
+    """One row of each class of *docs*, with all its columns: that with the smallest id, and of those the smallest hash of the text.
 
-    Rows without an id stay, for they cannot be told apart; so do all rows of the smallest id.
+    Rows are told apart by id and text, so rows that share an id are judged one by one; a row without an id
+    stays only where its class has none with one. Rows with equal id and text stay or go together.
     """
-    found = near_copies(docs.select(column(id_col), column(text_col)), id_col, text_col, distance, segments)
-    going, flag = unused(docs, "_going", "_flag")
-    gone = found.where(column(id_col).isNotNull() & (column(id_col) != F.col("component_id")))
-    gone = gone.select(column(id_col).alias(going)).distinct().withColumn(flag, F.lit(True))
-    left = docs.join(gone, column(id_col) == F.col(going), "left")
+    found = _classified(docs.select(column(id_col), column(text_col)), id_col, text_col, distance, segments)
+    key, digest, flag = unused(docs, "_key", "_hash", "_flag")
+    first = F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_digest") == F.col("_first._digest"))
+    gone = found.where(~first).select(F.col("_id").alias(key), F.col("_digest").alias(digest)).distinct().withColumn(flag, F.lit(True))
+    text = F.coalesce(column(text_col), F.lit(""))
+    left = docs.join(gone, column(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text) == F.col(digest)), "left")
     return left.where(F.col(flag).isNull()).select(*[docs[f"`{c}`"] for c in docs.columns])

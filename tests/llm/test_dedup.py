@@ -122,6 +122,26 @@ def test_near_copies_with_null_and_repeated_ids(spark):
     assert simhash.drop_near_copies(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_one_by_one(spark):
+    text = " ".join(f"word{i}" for i in range(400))
+    changed = (text.replace(f"word{i} ", "other ") for i in range(400))
+    near = next(t for t in changed if (simhash.fingerprint(text.encode()) ^ simhash.fingerprint(t.encode())).bit_count() <= 2)
+    far = " ".join(f"else{i}" for i in range(90))
+    rows = [(1, text), (2, near), (2, far), (None, near), (None, "alone and without an id"), (3, None), (4, "")]
+    left = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    got = sorted(map(tuple, left.collect()), key=str)
+    assert got == sorted([(1, text), (2, far), (None, "alone and without an id"), (3, None)], key=str)
+
+
+def test_a_class_with_very_many_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARE", 3)
+    rows = documents(5)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    prints = [brute_print(t) for _, t in rows]
+    assert found == {rows[i][0]: rows[c][0] for i, c in enumerate(brute_components(prints))}
+
+
 @pytest.mark.parametrize("run_limit", [2048, 4])
 @pytest.mark.parametrize("segments", [5, 7, 9])
 def test_links_join_what_is_close(spark, run_limit, segments):
