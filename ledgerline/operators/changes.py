@@ -48,6 +48,47 @@ def _state(spec: DatasetSpec, log: DataFrame) -> DataFrame:
     return current_state(spec, log).where(~F.col(LOG_DELETED)).select(*spec.names, F.lit(0).alias(SEQ))
 
 
+def _marked(spec: DatasetSpec, rows: DataFrame, seeded: bool) -> DataFrame:
+    """Add whether a row enters the log (``__changed``) and whether its key is gone after it (``__vanished``).
+
+    One window over the key; *seeded* rows with sequence number 0 are the state before.
+    """
+    key = Window.partitionBy(*spec.keys).orderBy(SEQ)
+    seq, digest = F.col(SEQ), F.col(_DIGEST)
+    prev_seq, next_seq = F.col("__prev_seq"), F.col("__next_seq")
+    rows = rows.select(
+        "*",
+        F.lag(_DIGEST).over(key).alias("__prev_digest"),
+        F.lag(SEQ).over(key).alias("__prev_seq"),
+        F.lead(SEQ).over(key).alias("__next_seq"),
+    )
+    changed = prev_seq.isNull() | (prev_seq < seq - 1) | (F.col("__prev_digest") != digest)
+    vanished = next_seq.isNull() | (next_seq > seq + 1)
+    if seeded:
+        changed = (seq > 0) & changed
+    twice = (seq > 0) & (prev_seq == seq)
+    failure = F.raise_error(duplicate_message(spec)).cast("boolean")
+    return rows.withColumns({"__changed": F.when(twice, failure).otherwise(changed), "__vanished": vanished})
+
+
+def duplicate_message(spec: DatasetSpec) -> Column:
+    return F.concat(
+        F.lit(f"{spec.code}: duplicate key ("),
+        F.concat_ws(", ", *[F.col(f"`{k}`").cast("string") for k in spec.keys]),
+        F.lit(") in one snapshot"),
+    )
+
+
+def _events(rows: DataFrame) -> DataFrame:
+    """One row per event of marked rows: False enters the change, True the deletion after it."""
+    events = (
+        F.when(F.col("__changed") & F.col("__vanished"), F.array(F.lit(False), F.lit(True)))
+        .when(F.col("__changed"), F.array(F.lit(False)))
+        .when(F.col("__vanished"), F.array(F.lit(True)))
+    )
+    return rows.withColumn(LOG_DELETED, F.explode(events))
+
+
 def capture_changes(
     spec: DatasetSpec,
     observations: DataFrame,
@@ -85,32 +126,8 @@ def capture_changes(
     # far side, spread evenly and not part of the shuffle
     if not clustered:
         rows = rows.repartition(*spec.keys)
-    rows = rows.withColumn(_DIGEST, F.unhex(row_digest(spec.schema, spec.digest_columns)))
-    key = Window.partitionBy(*spec.keys).orderBy(SEQ)
-    seq, digest = F.col(SEQ), F.col(_DIGEST)
-    prev_seq, next_seq = F.col("__prev_seq"), F.col("__next_seq")
-    rows = rows.select(
-        "*",
-        F.lag(_DIGEST).over(key).alias("__prev_digest"),
-        F.lag(SEQ).over(key).alias("__prev_seq"),
-        F.lead(SEQ).over(key).alias("__next_seq"),
-    )
-    changed = prev_seq.isNull() | (prev_seq < seq - 1) | (F.col("__prev_digest") != digest)
-    vanished = next_seq.isNull() | (next_seq > seq + 1)
-    if log is not None:
-        changed = (seq > 0) & changed
-    twice = (seq > 0) & (prev_seq == seq)
-    message = F.concat(
-        F.lit(f"{spec.code}: duplicate key ("),
-        F.concat_ws(", ", *[F.col(f"`{k}`").cast("string") for k in spec.keys]),
-        F.lit(") in one snapshot"),
-    )
-    rows = rows.withColumns(
-        {
-            "__changed": F.when(twice, F.raise_error(message).cast("boolean")).otherwise(changed),
-            "__vanished": vanished,
-        }
-    )
+    rows = _marked(spec, rows.withColumn(_DIGEST, F.unhex(row_digest(spec.schema, spec.digest_columns))), log is not None)
+    key, seq = Window.partitionBy(*spec.keys).orderBy(SEQ), F.col(SEQ)
 
     payload = [F.col(f"`{n}`") for n in spec.payload]
     if repeat == FROM_LOG:
@@ -120,14 +137,8 @@ def capture_changes(
             "__logged", logged.over(key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         )
 
-    # one row per event: False enters the change, True the deletion after it
     deleted = F.col(LOG_DELETED)
-    events = (
-        F.when(F.col("__changed") & F.col("__vanished"), F.array(F.lit(False), F.lit(True)))
-        .when(F.col("__changed"), F.array(F.lit(False)))
-        .when(F.col("__vanished"), F.array(F.lit(True)))
-    )
-    rows = rows.withColumn(LOG_DELETED, F.explode(events))
+    rows = _events(rows)
     if repeat == FROM_LOG:
         payload = [
             F.when(deleted, F.col(f"__logged.`{n}`")).otherwise(F.col(f"`{n}`")).alias(n) for n in spec.payload
@@ -185,9 +196,13 @@ def step_changes(
 ) -> DataFrame:
     """Changes of one snapshot as one full outer join with the live state.
 
-    The same rows as ``capture_changes`` for a snapshot with unique keys. Worth
+    The same rows as ``capture_changes``; a key that occurs twice fails, too. Worth
     it where both sides are bucketed on the key: neither is then shuffled.
     """
+    twice = Window.partitionBy(*spec.keys).orderBy(F.lit(0))  # clustered like the join below, so it shuffles nothing
+    incoming = incoming.withColumn("__nth", F.row_number().over(twice))
+    guarded = F.when(F.col("__nth") > 1, F.raise_error(duplicate_message(spec)).cast("boolean")).otherwise(F.lit(True))
+    incoming = incoming.where(guarded)
     live = current_state(spec, log).where(~F.col(LOG_DELETED))
     old = live.select(*[F.col(f"`{n}`").alias(f"old_{n}") for n in spec.names], F.col(LOG_MD5).alias("__old_digest"))
     new = with_digest(spec, incoming.select(*spec.names))

@@ -31,6 +31,7 @@ from ledgerline.plans.registry import query
 from ledgerline.plans.series import (
     BY,
     CUSTOMER,
+    DOCUMENTS,
     LINEITEM,
     ORDERS,
     Series,
@@ -39,6 +40,7 @@ from ledgerline.plans.series import (
     snapshot_rows,
     table,
 )
+from ledgerline.operators.narrow import narrow_replay
 from ledgerline.sources import log as log_layer
 from ledgerline.sources import std as std_layer
 from ledgerline.sources import tables
@@ -494,6 +496,32 @@ def continuous_load_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stable_log(log_layer.read(spark, f"{root}/lake", CUSTOMER.spec), CUSTOMER)
 
 
+@query("kept_state_loads", stable_log_sql(LINEITEM))
+def kept_state_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load after load, each on top of the kept state and at most one load after it; the last one twice."""
+    root = work_folder(spark, "kept-state")
+    spec = LINEITEM.spec
+    std_layer.write(spec, _partitioned(spark, sf_dir, LINEITEM), f"{root}/std")
+    for seq in (*range(1, SNAPSHOTS + 1), SNAPSHOTS):
+        log_layer.load(spark, f"{root}/lake", f"{root}/std", spec, [f"2026{seq:02d}01_1000"], tail_loads=1)
+    return _stable_log(log_layer.read(spark, f"{root}/lake", spec), LINEITEM)
+
+
+def _wide_std(spark: SparkSession, sf_dir: str) -> str:
+    """Std snapshots of whole documents."""
+    root = work_folder(spark, "wide-std")
+    std_layer.write(DOCUMENTS.spec, _partitioned(spark, sf_dir, DOCUMENTS), f"{root}/std")
+    return f"{root}/std"
+
+
+@query("narrow_replay", stable_log_sql(DOCUMENTS))
+def narrow_replay_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full replay of whole documents; only keys, digests and addresses cross the shuffle."""
+    root = _wide_std(spark, sf_dir)
+    files, listed = std_layer.scan(spark, root, DOCUMENTS.spec), std_layer.snapshots(spark, root, DOCUMENTS.spec)
+    return _stable_log(narrow_replay(DOCUMENTS.spec, files, listed, std_layer.BY), DOCUMENTS)
+
+
 def _buckets(spark: SparkSession) -> int:
     """As many buckets as the cluster shuffles into: the width follows the data's scale."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

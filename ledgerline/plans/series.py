@@ -112,7 +112,29 @@ LINEITEM = Series(
     ),
 )
 
-SERIES = {s.base: s for s in (CUSTOMER, ORDERS, LINEITEM)}
+# wide rows: whole texts are the payload
+DOCUMENTS = Series(
+    spec=DatasetSpec(
+        source=SOURCE,
+        table="documents",
+        keys=("doc_id",),
+        volatile=("sync_no",),
+        columns=(
+            Column("doc_id", "bigint"),
+            Column("text"),
+            Column("lang"),
+            Column("source"),
+            Column("balance", "decimal(18,2)"),
+            Column("sync_no", "int"),
+        ),
+    ),
+    base="documents",
+    number="doc_id",
+    moving="n_chars",
+    select=("doc_id", "text", "lang", "source"),
+)
+
+SERIES = {s.base: s for s in (CUSTOMER, ORDERS, LINEITEM, DOCUMENTS)}
 
 
 def snapshot_dates(count: int) -> list[tuple[int, str, str]]:

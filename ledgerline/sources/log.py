@@ -5,6 +5,14 @@
 A rebuild writes the next version beside the current one. A version counts once
 the writer's success mark is in it, so readers see the old log until the new one
 is whole, and a rebuild that breaks off changes nothing.
+
+Beside the loads of a version lies the kept state,
+
+    version=<n>/_state/upto=<YYYYMMDD_HHmm>/part-*.parquet
+
+the last log row of every live key after that load. A load reads it and the loads after it (the tail), not
+the log: its cost follows the snapshot, however long the history is. When the tail has grown to more than
+``TAIL_LOADS`` loads, a new state is written; the one before stays until the next.
 """
 
 from __future__ import annotations
@@ -16,14 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.parse import time_stamp
-from ledgerline.operators.changes import capture_changes, full_replay
+from ledgerline.operators.changes import capture_changes, current_state, full_replay
 from ledgerline.operators.snapshots import local_copy
 from ledgerline.sources import std
-from ledgerline.sources.files import parquet, partition_values, path_exists, remove_folder
-from ledgerline.spec import LOG_TIMESTAMP, DatasetSpec
+from ledgerline.sources.files import parquet, parts_of, partition_values, path_exists, remove_folder
+from ledgerline.spec import LOG_DELETED, LOG_TIMESTAMP, DatasetSpec
 
 PARTITION = "snapshot"
 VERSION = "version"
+#: Loads that are read beside the kept state before it is written anew.
+TAIL_LOADS = 8
 
 
 def folder(root: str, spec: DatasetSpec) -> str:
@@ -95,49 +105,95 @@ def rebuild(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec) ->
             remove_folder(spark, version_folder(root, spec, number))
 
 
-def load(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec, stamps: list[str]) -> list[str]:
-    """Add the changes of the given Std snapshots; return those taken.
+# Kept state
 
-    Snapshots older than the latest load are ignored. Each load owns its
-    partition, and the state is read from the others: a rerun, or a retry after
-    a crash, writes the same partitions again instead of adding rows.
-    """
-    log = scan(spark, root, spec)
+
+def _state_folder(path: str, upto: str | None = None) -> str:
+    return f"{path}/_state" + (f"/upto={upto}" if upto else "")
+
+
+def kept_states(spark: SparkSession, path: str) -> list[str]:
+    """Loads after which a whole state was kept, in order."""
+    found = partition_values(spark, _state_folder(path), "upto")
+    return [s for s in found if path_exists(spark, f"{_state_folder(path, s)}/_SUCCESS")]
+
+
+def state_rows(spark: SparkSession, path: str, spec: DatasetSpec, loads: list[str]) -> DataFrame:
+    """Log rows of which the latest per key are the state after *loads*: the kept state and the loads after it."""
+    kept = [s for s in kept_states(spark, path) if loads and s <= loads[-1]]
+    base = parquet(spark, _state_folder(path, kept[-1]), spec.log_schema) if kept else None
+    tail = [f"{path}/{PARTITION}={s}" for s in loads if not kept or s > kept[-1]]
+    if tail:
+        rows = spark.read.schema(spec.log_schema).parquet(*tail)
+        return rows if base is None else base.unionByName(rows)
+    return spark.createDataFrame([], spec.log_schema) if base is None else base
+
+
+def keep_state(spark: SparkSession, path: str, spec: DatasetSpec, tail_loads: int = TAIL_LOADS) -> None:
+    """Write the state after the newest load if the tail is longer than *tail_loads*."""
+    loads, kept = partition_values(spark, path, PARTITION), kept_states(spark, path)
+    if sum(not kept or s > kept[-1] for s in loads) <= tail_loads:
+        return
+    rows = current_state(spec, state_rows(spark, path, spec, loads)).where(~F.col(LOG_DELETED))
+    rows.write.mode("overwrite").parquet(_state_folder(path, loads[-1]))
+    for old in kept[:-1]:
+        remove_folder(spark, _state_folder(path, old))
+
+
+# Loads
+
+
+def changes_of(
+    spark: SparkSession, root: str, std_root: str, spec: DatasetSpec, stamps: list[str]
+) -> tuple[DataFrame | None, list[str]]:
+    """Changes of the given Std snapshots on top of the loads before them, and the snapshots taken."""
     path = current_folder(spark, root, spec)
     others = [s for s in partition_values(spark, path, PARTITION) if s not in set(stamps)]
-    newest = others[-1] if others else None
     # every partition after the newest of the others belongs to this batch
-    state = log.where(F.col(PARTITION) <= F.lit(newest))
     wanted = std.snapshots(spark, std_root, spec).where(F.col(PARTITION).isin(stamps))
-    if newest is not None:
-        wanted = wanted.where(F.col(PARTITION) > newest)
+    if others:
+        wanted = wanted.where(F.col(PARTITION) > others[-1])
     listed = local_copy(wanted, len(stamps))
     if listed is None:
         raise ValueError(f"{spec.code}: a snapshot exists under two months")
     taken = sorted(r[PARTITION] for r in listed.select(PARTITION).collect())
     if not taken:
-        return []
+        return None, []
+    for stale in kept_states(spark, path):
+        if stale >= taken[0]:  # it holds rows of a load that is about to be written again
+            remove_folder(spark, _state_folder(path, stale))
     changes = capture_changes(
         spec,
         std.scan(spark, std_root, spec).where(F.col(PARTITION).isin(taken)),
-        log=state.drop(PARTITION),
+        log=state_rows(spark, path, spec, others),
         snapshots=listed,
         by=std.BY,
     )
-    held = [s for s in taken if path_exists(spark, f"{path}/{PARTITION}={s}")]
+    return changes, taken
+
+
+def load(
+    spark: SparkSession, root: str, std_root: str, spec: DatasetSpec, stamps: list[str], tail_loads: int = TAIL_LOADS
+) -> list[str]:
+    """Add the changes of the given Std snapshots; return those taken.
+
+    Snapshots older than the latest load are ignored. Each load owns its
+    partition, and the state is read from the others: a rerun, or a retry after
+    a crash, writes the same partitions again instead of adding rows.
+    """
+    changes, taken = changes_of(spark, root, std_root, spec, stamps)
+    if changes is None:
+        return []
+    path = current_folder(spark, root, spec)
+    held = {s: _files(spark, path, s) for s in taken if path_exists(spark, f"{path}/{PARTITION}={s}")}
     begun = current_version(spark, root, spec) is not None
     _write(changes, path, "dynamic" if begun else "static")  # only a static write leaves the success mark
-    if held:
-        _drop_superseded(spark, path, changes, held)
+    for stamp, before in held.items():
+        if _files(spark, path, stamp) == before:  # a snapshot that no longer changes anything wrote no file
+            remove_folder(spark, f"{path}/{PARTITION}={stamp}")
+    keep_state(spark, path, spec, tail_loads)
     return taken
 
 
-def _drop_superseded(spark: SparkSession, path: str, changes: DataFrame, held: list[str]) -> None:
-    """Remove partitions of reloaded snapshots that no longer change anything."""
-    left = {
-        r["stamp"] for r in changes.select(time_stamp(F.col(LOG_TIMESTAMP)).alias("stamp")).distinct().collect()
-    }
-    for stamp in held:
-        if stamp not in left:
-            remove_folder(spark, f"{path}/{PARTITION}={stamp}")
-
+def _files(spark: SparkSession, path: str, stamp: str) -> list[str]:
+    return [name for name, _ in parts_of(spark, f"{path}/{PARTITION}={stamp}")]
