@@ -162,10 +162,14 @@ NESTED_SQL = f"""WITH records AS (
 def nested_to_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested exports to three Std tables to three logs under one load state.
 
-    Three exports come in one full load, the fourth incrementally.
+    Three exports come in one full load, the fourth incrementally. Which tables there are, and their order,
+    is read from the metadata of the datasets.
     """
     specs = (EVENTS, MARKS, NOTES)
-    ledger = Ledger(spark, work_folder(spark, "nested-to-logs"), {EVENTS.code: (specs, split_events)})
+    known = [("3", NOTES.code, MARKS.code, "parent, note"), ("2", MARKS.code, EVENTS.code, "parent, mark"), ("1", EVENTS.code, None, "event_id")]
+    datasets = spark.createDataFrame(known, "id string, code string, parent_code string, keys string")
+    root = work_folder(spark, "nested-to-logs")
+    ledger = Ledger.of_metadata(spark, root, datasets, {s.code: s for s in specs}, {EVENTS.code: split_events})
     paths = []
     for seq, month, stamp in snapshot_dates(4):
         paths.append(f"{raw.folder(ledger.raw_root, EVENTS)}/year_month={month}/events_{stamp}.json")

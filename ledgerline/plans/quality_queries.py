@@ -540,6 +540,110 @@ def concept_rule_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata.concept_problems(metadata.business_concepts(text), domains)
 
 
+@query(
+    "domain_rules_all",
+    """WITH t AS (
+        SELECT CASE WHEN p_partkey % 97 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN p_partkey - 1 ELSE p_partkey END::INTEGER AS id,
+               CASE WHEN p_size % 9 = 0 THEN NULL ELSE trim(lower(substr(p_name, 1, 4))) END AS code,
+               CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_name END AS name FROM part),
+    m AS (SELECT *, 'business_domains.csv id ' || coalesce(id::VARCHAR, '(empty)') AS prefix FROM t)
+    SELECT DISTINCT NULL::INTEGER AS id, 'business_domains.csv: empty id' AS message FROM t WHERE id IS NULL
+    UNION ALL SELECT id, 'business_domains.csv: duplicate id ' || id FROM t WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1
+    UNION ALL SELECT DISTINCT id, prefix || ': must fit in one byte (0-255) for key_set_binary' FROM m WHERE id > 255 OR id < 0
+    UNION ALL SELECT DISTINCT id, prefix || ': code ' || coalesce(code, '(empty)') || ' must be exactly 3 lowercase letters or digits'
+        FROM m WHERE code IS NULL OR NOT regexp_full_match(code, '[a-z0-9]{3}')
+    UNION ALL SELECT NULL, 'business_domains.csv: duplicate code ' || code FROM t WHERE code IS NOT NULL GROUP BY code HAVING count(*) > 1
+    UNION ALL SELECT DISTINCT id, prefix || ': empty name' FROM m WHERE name IS NULL""",
+)
+def domain_rules_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts taken for business domains, so that every rule is broken by some."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    text = table(spark, sf_dir, "part").select(
+        F.when(key % 97 != 0, F.when(key % 5 == 0, key - 1).otherwise(key)).cast("string").alias("id"),
+        F.when(size % 9 != 0, F.lower(F.substring("p_name", 1, 4))).alias("code"),
+        F.when(size % 7 != 0, F.col("p_name")).otherwise("").alias("name"), F.lit("").alias("description"),
+    )
+    return metadata.domain_problems(metadata.business_domains(text))
+
+
+@query(
+    "concept_rules_all",
+    """WITH t AS (
+        SELECT CASE WHEN c_custkey % 89 = 0 THEN NULL WHEN c_custkey % 6 = 0 THEN c_custkey - 1 ELSE c_custkey END::INTEGER AS id,
+               CASE WHEN c_nationkey = 3 THEN NULL ELSE c_mktsegment || c_custkey // 2 END AS code,
+               CASE WHEN c_nationkey % 8 = 7 THEN NULL ELSE c_nationkey % 8 END AS parent FROM customer),
+    m AS (SELECT *, 'business_concepts.csv id ' || coalesce(id::VARCHAR, '(empty)') AS prefix FROM t)
+    SELECT DISTINCT NULL::INTEGER AS id, 'business_concepts.csv: empty id' AS message FROM t WHERE id IS NULL
+    UNION ALL SELECT id, 'business_concepts.csv: duplicate id ' || id FROM t WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1
+    UNION ALL SELECT DISTINCT id, prefix || ': empty code' FROM m WHERE code IS NULL
+    UNION ALL SELECT NULL, 'business_concepts.csv: duplicate code ' || code FROM t WHERE code IS NOT NULL GROUP BY code HAVING count(*) > 1
+    UNION ALL SELECT DISTINCT id, prefix || ': empty business_domain_id' FROM m WHERE parent IS NULL
+    UNION ALL SELECT DISTINCT id, prefix || ': unknown business_domain_id ' || parent FROM m
+        WHERE parent NOT IN (SELECT r_regionkey FROM region)""",
+)
+def concept_rules_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers taken for business concepts, so that every rule is broken by some."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    text = table(spark, sf_dir, "customer").select(
+        F.when(key % 89 != 0, F.when(key % 6 == 0, key - 1).otherwise(key)).cast("string").alias("id"),
+        F.when(nation != 3, F.concat("c_mktsegment", F.floor(key / 2).cast("string"))).otherwise(" ").alias("code"),
+        F.col("c_name").alias("name"), F.lit("").alias("description"),
+        F.when(nation % 8 != 7, nation % 8).cast("string").alias("business_domain_id"),
+    )
+    domains = metadata.business_domains(derived_metadata(spark, sf_dir)["business_domains"])
+    return metadata.concept_problems(metadata.business_concepts(text), domains)
+
+
+@query(
+    "hook_rules_all",
+    f"""WITH {META_SQL},
+    parts AS (SELECT id, code, CASE WHEN id % 9 = 4 THEN 9000 + id ELSE source_id END AS source_id FROM datasets),
+    origins AS (SELECT CASE WHEN id % 10 = 7 THEN 300 + id ELSE id END AS id, code, id AS was FROM sources),
+    linked AS (SELECT p.id, p.code, CASE WHEN p.source_id < 9000 AND p.source_id % 10 = 7 THEN 300 + p.source_id ELSE p.source_id END AS source_id FROM parts p),
+    h AS (
+        SELECT CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey - 1 ELSE s_suppkey END::INTEGER AS id, (s_nationkey % 27)::INTEGER AS concept_id,
+               (s_suppkey % 60 + 1)::INTEGER AS dataset_id, CASE WHEN s_suppkey % 7 = 2 THEN NULL ELSE 's_suppkey' END AS prod
+        FROM supplier),
+    r AS (
+        SELECT h.*, ds.id AS d_id, ds.code AS d_code, s.id AS s_id, c.id AS c_id, d.id AS b_id,
+               'hooks.csv id ' || h.id AS prefix, count(*) OVER (PARTITION BY h.id) AS same_id,
+               count(*) OVER (PARTITION BY h.dataset_id, h.concept_id) AS same_role
+        FROM h LEFT JOIN linked ds ON ds.id = h.dataset_id LEFT JOIN origins s ON s.id = ds.source_id
+        LEFT JOIN concepts c ON c.id = h.concept_id LEFT JOIN domains d ON d.id = c.domain_id)
+    SELECT DISTINCT id, prefix || ': empty hook_expression_prod' AS message FROM r WHERE prod IS NULL
+    UNION ALL SELECT DISTINCT id, 'hooks.csv: duplicate id ' || id FROM r WHERE same_id > 1
+    UNION ALL SELECT DISTINCT id, prefix || ': dataset ' || d_code || ' has an unknown source_id' FROM r WHERE d_id IS NOT NULL AND s_id IS NULL
+    UNION ALL SELECT DISTINCT id, prefix || ': source id ' || s_id || ', business domain id ' || coalesce(b_id::VARCHAR, '(empty)')
+        || ' and business concept id ' || coalesce(c_id::VARCHAR, '(empty)') || ' must fit in one byte (0-255) for key_set_binary' FROM r WHERE s_id > 255
+    UNION ALL SELECT DISTINCT id, prefix || ': unknown dataset_id ' || dataset_id FROM r WHERE d_id IS NULL
+    UNION ALL SELECT DISTINCT id, prefix || ': unknown business_concept_id ' || concept_id FROM r WHERE c_id IS NULL
+    UNION ALL SELECT DISTINCT id, prefix || ': dataset ' || dataset_id || ' has more than one hook for business concept ' || concept_id
+        || ' with role (none) (give each a different hook_role)' FROM r WHERE same_role > 1""",
+)
+def hook_rules_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers taken for hooks, with the rules that ``hook_rule_check`` does not break: repeated ids, empty
+    production expressions, datasets of an unknown source, and a source id beyond a byte."""
+    tables = derived_metadata(spark, sf_dir)
+    key, source = F.col("s_suppkey"), F.col("source_id").cast("int")
+    moved = lambda c: F.when(c % 10 == 7, c + 300).otherwise(c)
+    parts = tables["datasets"].withColumn(
+        "source_id", F.when(F.col("id").cast("int") % 9 == 4, F.col("id").cast("int") + 9000).otherwise(moved(source)).cast("string")
+    )
+    origins = tables["sources"].withColumn("id", moved(F.col("id").cast("int")).cast("string"))
+    text = table(spark, sf_dir, "supplier").select(
+        F.when(key % 4 == 0, key - 1).otherwise(key).cast("string").alias("id"),
+        (F.col("s_nationkey") % 27).cast("string").alias("business_concept_id"),
+        (key % 60 + 1).cast("string").alias("dataset_id"),
+        F.lit("s_name").alias("hook_expression_dev"),
+        F.when(key % 7 != 2, F.lit("s_suppkey")).alias("hook_expression_prod"),
+        F.lit("").alias("hook_encoding"), F.lit(None).cast("string").alias("hook_role"),
+    )
+    return metadata.hook_problems(
+        metadata.hook_rows(text), metadata.datasets(parts), metadata.sources(origins),
+        metadata.business_concepts(tables["business_concepts"]), metadata.business_domains(tables["business_domains"]),
+    )
+
+
 @query(
     "dataset_tables",
     """WITH RECURSIVE rows AS (

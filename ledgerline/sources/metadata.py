@@ -9,6 +9,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from ledgerline import catalog
 from ledgerline.functions.hooks import ENCODINGS, Hook, hook_column, key_set, key_set_binary
 from ledgerline.functions.parse import blank_to_null
 from ledgerline.operators.snapshots import local_relation
-from ledgerline.operators.checks import duplicates, listed, missing_parents, mixed_values, whole
+from ledgerline.operators.checks import listed, missing_parents, mixed_values, whole
+from ledgerline.session import work_folder
 
 # Columns of the metadata files and the patterns of their codes.
 COLUMNS = {
@@ -68,17 +70,6 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("(empty)")) for p in parts])
 
 
-def _problems(rows: DataFrame, condition: Column, message: Column) -> DataFrame:
-    return rows.where(condition).select(F.col("id"), message.alias("message"))
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def sources(text: DataFrame) -> DataFrame:
     return text.select(F.col("id").cast("int").alias("id"), "code", "name", "scope", "url")
 
@@ -102,21 +93,57 @@ def business_domains(text: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A rule on single rows (*broken*), or on groups of rows (*group*, the key as text; rows without one are in none)."""
+
+    message: Column
+    broken: Column | None = None
+    group: tuple[str, Column] | None = None
+    #: Whether a group breaks the rule by having more than one row; otherwise the caller names the bad groups.
+    alone: bool = True
+    #: Whether the message is about a row; otherwise it has no id.
+    of_row: bool = True
+
+
+def broken_rules(rows: DataFrame, rules: list[Rule], bad_groups: DataFrame | None = None) -> DataFrame:
+    """Distinct (id, message) of every broken rule, in two passes over *rows*.
+
+    The first counts the groups, partial counts first, so a group of any size is one row after the shuffle;
+    *bad_groups* (kind, key) are bad for other reasons. The second names what each row breaks itself
+    and the groups it is in, and keeps the groups that are bad.
+    """
+    none = F.lit(None).cast("string")
+    members = [F.struct(F.lit(r.group[0]).alias("kind"), r.group[1].alias("key")) for r in rules if r.group and r.alone]
+    counted = rows.select(F.inline(F.array(*members))).where("key is not null").groupBy("kind", "key").count()
+    bad = counted.where("count > 1").select("kind", "key")
+    if bad_groups is not None:
+        bad = bad.unionByName(bad_groups)
+
+    def entry(rule: Rule) -> Column:
+        kind, key = rule.group or (None, none)
+        ident = F.col("id") if rule.of_row else F.lit(None).cast(rows.schema["id"].dataType)
+        one = F.struct(ident.alias("id"), F.lit(kind).cast("string").alias("kind"), key.alias("key"), rule.message.alias("message"))
+        return F.when(rule.broken if rule.group is None else key.isNotNull(), one)
+
+    named = rows.select(F.explode(F.array(*[entry(r) for r in rules])).alias("one")).where("one is not null").select("one.*")
+    kept = named.join(bad.distinct().withColumn("bad", F.lit(True)), ["kind", "key"], "left").where("kind is null or bad")
+    return kept.select("id", "message").distinct()
+
+
 def domain_problems(domains: DataFrame) -> DataFrame:
+    """Distinct (id, message) of every rule a business domain breaks."""
     file, ident, code = "business_domains.csv", F.col("id"), F.col("code")
-    return _union([
-        _problems(domains, ident.isNull(), F.lit(f"{file}: empty id")),
-        _problems(duplicates(domains.where(ident.isNotNull()), ["id"]), F.lit(True),
-                  _text(f"{file}: duplicate id ", ident)),
-        _problems(domains, ~ident.between(0, 255),
-                  _text(f"{file} id ", ident, ": must fit in one byte (0-255) for key_set_binary")),
-        _problems(domains, code.isNull() | ~code.rlike(whole(DOMAIN_CODE)),
-                  _text(f"{file} id ", ident, ": code ", F.coalesce(code, F.lit("(empty)")),
-                        " must be exactly 3 lowercase letters or digits")),
-        duplicates(domains.where(code.isNotNull()), ["code"]).select(
-            F.lit(None).cast("int").alias("id"), _text(f"{file}: duplicate code ", code).alias("message")),
-        _problems(domains, F.col("name").isNull(), _text(f"{file} id ", ident, ": empty name")),
-    ])
+    # The messages of the rules.
+    return broken_rules(domains, [
+        Rule(F.lit(f"{file}: empty id"), ident.isNull()),
+        Rule(_text(f"{file}: duplicate id ", ident), group=("id", ident.cast("string"))),
+        Rule(_text(f"{file} id ", ident, ": must fit in one byte (0-255) for key_set_binary"), ~ident.between(0, 255)),
+        Rule(_text(f"{file} id ", ident, ": code ", F.coalesce(code, F.lit("(empty)")),
+                   " must be exactly 3 lowercase letters or digits"), code.isNull() | ~code.rlike(whole(DOMAIN_CODE))),
+        Rule(_text(f"{file}: duplicate code ", code), group=("code", code), of_row=False),
+        Rule(_text(f"{file} id ", ident, ": empty name"), F.col("name").isNull()),
+    ])
 
 
 def business_concepts(text: DataFrame) -> DataFrame:
@@ -130,19 +157,19 @@ def business_concepts(text: DataFrame) -> DataFrame:
 
 
 def concept_problems(concepts: DataFrame, domains: DataFrame) -> DataFrame:
+    """Distinct (id, message) of every rule a business concept breaks."""
     file, ident, code, parent = "business_concepts.csv", F.col("id"), F.col("code"), F.col("business_domain_id")
-    orphans = missing_parents(concepts, "business_domain_id", domains, "id").drop("rows")
-    return _union([
-        _problems(concepts, ident.isNull(), F.lit(f"{file}: empty id")),
-        _problems(duplicates(concepts.where(ident.isNotNull()), ["id"]), F.lit(True),
-                  _text(f"{file}: duplicate id ", ident)),
-        _problems(concepts, code.isNull(), _text(f"{file} id ", ident, ": empty code")),
-        duplicates(concepts.where(code.isNotNull()), ["code"]).select(
-            F.lit(None).cast("int").alias("id"), _text(f"{file}: duplicate code ", code).alias("message")),
-        _problems(concepts, parent.isNull(), _text(f"{file} id ", ident, ": empty business_domain_id")),
-        _problems(concepts.join(orphans, "business_domain_id", "left_semi"), F.lit(True),
-                  _text(f"{file} id ", ident, ": unknown business_domain_id ", parent)),
-    ])
+    orphans = missing_parents(concepts, "business_domain_id", domains, "id")
+    unknown = orphans.select(F.lit("parent").alias("kind"), parent.cast("string").alias("key"))
+    # The messages of the rules.
+    return broken_rules(concepts, [
+        Rule(F.lit(f"{file}: empty id"), ident.isNull()),
+        Rule(_text(f"{file}: duplicate id ", ident), group=("id", ident.cast("string"))),
+        Rule(_text(f"{file} id ", ident, ": empty code"), code.isNull()),
+        Rule(_text(f"{file}: duplicate code ", code), group=("code", code), of_row=False),
+        Rule(_text(f"{file} id ", ident, ": empty business_domain_id"), parent.isNull()),
+        Rule(_text(f"{file} id ", ident, ": unknown business_domain_id ", parent), group=("parent", parent.cast("string")), alone=False),
+    ], unknown)
 
 
 def hook_rows(text: DataFrame) -> DataFrame:
@@ -307,26 +334,35 @@ def dataset_tables(datasets_: DataFrame, root: str | None = None) -> DataFrame:
     depth. Meeting a code again on the way down from a root is a cycle and fails the query.
     """
     spark = datasets_.sparkSession
-    for limit in ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit"):
-        spark.conf.set(limit, "-1")
     rows = datasets_.select("code", "parent_code", F.trim(F.coalesce("keys", F.lit(""))).alias("keys"))
     start = rows if root is None else rows.where(F.col("code") == root)
-    found = spark.sql(
-        """
-        WITH RECURSIVE tree(root, code, keys, level, above, again) AS (
-            SELECT code, code, keys, 0, array(code), false FROM {start}
-            UNION ALL
-            SELECT t.root, r.code, r.keys, t.level + 1, array_append(t.above, r.code), array_contains(t.above, r.code)
-            FROM tree t JOIN {rows} r ON r.parent_code = t.code WHERE NOT t.again
+    path = work_folder(spark, "dataset-tables")
+    limits = ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit")
+    before = {name: spark.conf.get(name, None) for name in limits}
+    for name in limits:  # for this query only: the data end the recursion
+        spark.conf.set(name, "-1")
+    try:
+        found = spark.sql(
+            """
+            WITH RECURSIVE tree(root, code, keys, level, above, again) AS (
+                SELECT code, code, keys, 0, array(code), false FROM {start}
+                UNION ALL
+                SELECT t.root, r.code, r.keys, t.level + 1, array_append(t.above, r.code), array_contains(t.above, r.code)
+                FROM tree t JOIN {rows} r ON r.parent_code = t.code WHERE NOT t.again
+            )
+            SELECT * FROM tree
+            """,
+            start=start,
+            rows=rows,
         )
-        SELECT * FROM tree
-        """,
-        start=start,
-        rows=rows,
-    )
-    message = F.concat(F.lit("datasets: parent_code leads from "), "code", F.lit(" back to itself"))
-    checked = F.when(F.col("again"), F.raise_error(message).cast("string")).otherwise(F.col("keys"))
-    return found.where(checked != "").select("root", "code", "level")
+        message = F.concat(F.lit("datasets: parent_code leads from "), "code", F.lit(" back to itself"))
+        checked = F.when(F.col("again"), F.raise_error(message).cast("string")).otherwise(F.col("keys"))
+        found = found.where(checked != "").select("root", "code", "level")
+        found.write.parquet(path)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def tables_of(datasets_: DataFrame, code: str) -> list[str]:
