@@ -13,7 +13,8 @@ that are mostly links and below the threshold go: short paragraphs and loose tex
 
 What is never part of the text is taken out first: scripts, styles, menus, forms and so on by tag,
 and sidebars, notices, adverts, comments and the like by class, id or role, unless the node holds
-most of the page's text or an article.
+most of the page's text or an article. A name counts if all its words (split at hyphens and capitals)
+are about such parts: ``adSlot`` and ``related-posts`` do, ``share-price`` and ``notice-board`` do not.
 
 Nothing is cut: every block of the chosen subtree is in the text. Character references are decoded,
 white space inside a block becomes one space, blocks are joined by one space in page order.
@@ -76,6 +77,15 @@ BESIDE = frozenset(
     "navbar navigation topbar masthead footer copyright pagination pager toolbar login search hidden skip complementary contentinfo "
     "dialog".split()
 )
+#: Words that say what kind of part it is; with one of the above they make a name like ``adSlot`` or ``related-posts``.
+#: Any other word (``share-price``, ``notice-board``, ``comment-enabled``) makes it the name of something else.
+PARTS = frozenset(
+    "area bar block body bottom box button buttons card center column container content count element embed feed float footer form "
+    "frame group head header heading holder icon icons info inner item items label layer left link links list loop main message "
+    "messages module outer panel parent placeholder post posts region right row section size slot space square stream text "
+    "thread title top unit view wrap wrapper zone aside for of the a in on by js id site page primary secondary global".split()
+)
+_NAME_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 class Node:
@@ -148,15 +158,25 @@ def parse(html: str) -> list[Node]:
     return nodes
 
 
+def _names_beside(value: str) -> bool:
+    """Whether one of the names in a class, id or role is made of words for parts beside the text, and for parts, only."""
+    for name in value.split():
+        words = [w.lower() for w in _NAME_WORDS.findall(name)]
+        if not BESIDE.isdisjoint(words) and all(w in BESIDE or w in PARTS for w in words):
+            return True
+    return False
+
+
 def _beside(node: Node) -> bool:
     """Whether class, id, role or style say that a node is not main text."""
     if not node.attributes or "=" not in node.attributes and "hidden" not in node.attributes:
         return False
     for name, a, b, c, bare in ATTRIBUTE.findall(node.attributes):
         name = (name or bare).lower()
-        value = (a or b or c).lower()
-        if name in ("class", "id", "role") and not BESIDE.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        value = a or b or c
+        if name in ("class", "id", "role") and _names_beside(value):
             return True
+        value = value.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):

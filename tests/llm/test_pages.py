@@ -1,5 +1,6 @@
 """Main text and URL rules."""
 
+import math
 import random
 
 import pytest
@@ -54,6 +55,53 @@ def test_density_decides_between_and_within_articles():
     assert text.startswith("Loose lead. Title A long") and text.endswith("Of.") and "Teaser" not in text
 
 
+@pytest.mark.parametrize("attributes", ['class="share-price table"', 'class="notice-board"', 'id="commentEnabled"', 'class="x shareholders"', 'class="menuette"'])
+def test_names_of_other_things_delete_nothing(attributes):
+    prose = "A sentence of the article that must stay where it is. " * 4
+    page = f"<body>{NOISE[0]}<article class='post comment-enabled'><p>{prose}</p><div {attributes}><p>{prose}</p>Kept.</div><p {attributes}>{prose}</p></article>{NOISE[1]}</body>"
+    text = html_density.main_text(page)
+    assert text.count("must stay") == 12 and "Kept." in text and "Home" not in text
+
+
+@pytest.mark.parametrize("attributes", ['class="adSlot"', 'class="ad-box top"', 'id="related-posts"', 'class="post share-buttons"', 'class="CommentsList"', 'role="complementary"'])
+def test_names_of_parts_beside_the_text_do(attributes):
+    prose = "A sentence of the article that must stay where it is. " * 4
+    page = f"<body>{NOISE[0]}<article><p>{prose}</p><div {attributes}>Away with this text.</div><p>{prose}</p></article>{NOISE[1]}</body>"
+    text = html_density.main_text(page)
+    assert text.count("must stay") == 8 and "Away" not in text
+
+
+def test_densities_by_their_definition():
+    """Characters, tags and link shares of every node, and the sums, counted anew from the tree."""
+    page = f"<body>{NOISE[0]}<div><h1>T &amp; x</h1><div><p>One <a href='/'>link</a> of <b>two</b>.</p><p>More text here.</p></div><ul><li><a href='/a'>a</a></li></ul></div></body>"
+    nodes = html_density.parse(page)
+    html_density._measure(nodes)
+    html_density._score(nodes, next(n for n in nodes if n.tag == "body"))
+
+    def under(node):
+        for child in node.children:
+            if not isinstance(child, str):
+                yield child
+                yield from under(child)
+
+    def chars(node):
+        return sum(len("".join(c.split())) if isinstance(c, str) else chars(c) for c in node.children)
+
+    body = next(n for n in nodes if n.tag == "body")
+    share = sum(chars(n) for n in under(body) if n.tag == "a") / chars(body)
+    for node in nodes:
+        below = list(under(node))
+        links = chars(node) if node.tag == "a" else sum(chars(n) for n in below if n.tag == "a")
+        link_tags = len(below) if node.tag == "a" else sum(1 for n in below if n.tag == "a")
+        c, t = chars(node), max(len(below), 1)
+        assert (node.chars, node.tags, node.link_chars, node.link_tags) == (c, len(below), links, link_tags)
+        if c:
+            base = math.log(math.log(c / max(c - links, 1) * links + share * c + math.e))
+            density = c / t * math.log(max(c / max(links, 1) * t / max(link_tags, 1), 1)) / base if base > math.log(1.0001) else c / t
+            assert node.density == pytest.approx(max(density, 0))
+        assert node.sum == pytest.approx(sum(n.density for n in node.children if not isinstance(n, str)))
+
+
 def test_odd_pages():
     for html in ("", "   ", "<", "<p", "</p>", "<!-- open", "<a href='x", "<script>", "&#xD800;", "<div hidden>x</div>"):
         html_density.main_text(html)
