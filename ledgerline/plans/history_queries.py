@@ -41,6 +41,7 @@ from ledgerline.plans.series import (
     table,
 )
 from ledgerline.operators.narrow import narrow_replay
+from ledgerline.sources import frames
 from ledgerline.sources import log as log_layer
 from ledgerline.sources import std as std_layer
 from ledgerline.sources import tables
@@ -507,6 +508,29 @@ def kept_state_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stable_log(log_layer.read(spark, f"{root}/lake", spec), LINEITEM)
 
 
+def stable_frame_sql(series: Series) -> str:
+    names = ", ".join(n for n in series.spec.names if n not in series.spec.volatile)
+    keys = ", ".join(series.spec.keys)
+    return (
+        f'WITH {log_sql(series)} SELECT {names}, md5 AS "___Lake_md5", \'{series.spec.code}\' AS "___Lake_datasource", '
+        f'{time_sql("load_no")} AS "___Effective_From", lead({time_sql("load_no")}) OVER (PARTITION BY {keys} ORDER BY load_no) '
+        'AS "___Effective_To", deleted AS "___Is_Deleted" FROM log'
+    )
+
+
+@query("maintained_frame", stable_frame_sql(LINEITEM))
+def maintained_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame kept beside the log: built after two loads, then brought up to date by each, the last one twice."""
+    root, spec = work_folder(spark, "maintained-frame"), LINEITEM.spec
+    std_layer.write(spec, _partitioned(spark, sf_dir, LINEITEM), f"{root}/std")
+    for seq in range(1, SNAPSHOTS + 1):
+        log_layer.load(spark, f"{root}/lake", f"{root}/std", spec, [f"2026{seq:02d}01_1000"])
+        if seq > 1:
+            frames.refresh(spark, f"{root}/lake", f"{root}/frames", spec, buckets=4)
+    frames.refresh(spark, f"{root}/lake", f"{root}/frames", spec, buckets=4)
+    return _stable_log(frames.read(spark, f"{root}/lake", f"{root}/frames", spec), LINEITEM)
+
+
 def _wide_std(spark: SparkSession, sf_dir: str) -> str:
     """Std snapshots of whole documents."""
     root = work_folder(spark, "wide-std")

@@ -46,6 +46,12 @@ def partition_values(spark: SparkSession, folder: str, name: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{name}="))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty folder as a mark."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jvm_path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
