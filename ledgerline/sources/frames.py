@@ -7,19 +7,21 @@ open versions of the buckets they fall into. It writes the intervals that it clo
 anew; what no change falls into, and every interval closed before, is neither read nor written. A
 reader takes each bucket from the newest load that wrote it.
 
-A load counts once its mark lies in ``_loads``. A load that breaks off, or runs again, writes the same
-folders again from the load before it, so readers never see half of one.
+A load counts once its mark lies in ``_loads``; the mark names the log files that were applied. A load that
+broke off writes the same folders again from the load before it, so readers never see half of one.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import versions
 from ledgerline.sources import log
-from ledgerline.sources.files import partition_values, path_exists, remove_folder, touch
+from ledgerline.sources.files import partition_values, parts_of, path_exists, remove_folder, touch
 from ledgerline.spec import (
     EFFECTIVE_FROM,
     EFFECTIVE_TO,
@@ -32,6 +34,8 @@ from ledgerline.functions.parse import time_stamp
 OPEN, CLOSED = "open", "closed"
 #: Buckets of a frame: so many that one of them fits a few tasks.
 BUCKETS = 64
+#: Newest loads whose open versions stay as they were, to go on from if a later load is written again.
+KEPT = 3
 
 
 def schema(spec: DatasetSpec) -> T.StructType:
@@ -98,7 +102,7 @@ def apply_load(spark: SparkSession, spec: DatasetSpec, log_path: str, path: str,
     until = changes.select(*spec.keys, F.col(LOG_TIMESTAMP).alias("__until"))
     held = held.join(until, list(spec.keys), "left").withColumn(EFFECTIVE_TO, F.col("__until")).select(*schema(spec).names)
     _write(held.unionByName(new), spec, path, F.lit(load), buckets)
-    touch(spark, f"{path}/_loads/load={load}")
+    touch(spark, _mark(spark, log_path, path, load))
 
 
 def build(spark: SparkSession, spec: DatasetSpec, log_path: str, path: str, upto: list[str], buckets: int = BUCKETS) -> None:
@@ -107,32 +111,49 @@ def build(spark: SparkSession, spec: DatasetSpec, log_path: str, path: str, upto
     load = F.coalesce(time_stamp(F.col(EFFECTIVE_TO)), F.lit(upto[-1]))
     _write(versions.frame(spec, rows), spec, path, load, buckets)
     for stamp in upto:
-        touch(spark, f"{path}/_loads/load={stamp}")
+        touch(spark, _mark(spark, log_path, path, stamp))
 
 
 def refresh(spark: SparkSession, lake_root: str, root: str, spec: DatasetSpec, buckets: int = BUCKETS) -> list[str]:
     """Bring the frame up to the log; return the loads that were applied.
 
-    A new version of the log begins a new frame. The newest load is applied again, since its partition may
-    have been written again; what earlier loads left in buckets that were replaced twice is removed.
+    A new version of the log begins a new frame. Loads whose log partition was written again, or is gone, and
+    those after them are undone first; if that goes back further than the ``KEPT`` newest, the frame is built anew.
     """
     version = log.current_version(spark, lake_root, spec)
     if version is None:
         return []
     log_path, path = log.version_folder(lake_root, spec, version), folder(root, spec, version)
     stamps, known = partition_values(spark, log_path, log.PARTITION), loads(spark, path)
-    for gone in [s for s in known if s not in set(stamps)]:
-        _forget(spark, path, gone)
-    known = [s for s in known if s in set(stamps)]
-    todo = [s for s in stamps if not known or s >= known[-1]]
-    if not known and len(stamps) > 1:
+    same = 0
+    while same < min(len(stamps), len(known)) and stamps[same] == known[same] and _holds(spark, log_path, path, stamps[same]):
+        same += 1
+    stale = known[same:]
+    if stale and (same == 0 or len(stale) >= KEPT or not path_exists(spark, f"{path}/state={OPEN}/load={known[same - 1]}")):
+        remove_folder(spark, path)
+        same = 0
+    else:
+        for load in reversed(stale):
+            _forget(spark, path, load)
+    todo = stamps[same:]
+    if same == 0 and len(stamps) > 1:
         build(spark, spec, log_path, path, stamps[:-1], buckets)
         todo = stamps[-1:]
     for stamp in todo:
-        _forget(spark, path, stamp)
+        _forget(spark, path, stamp)  # what a load that broke off has left
         apply_load(spark, spec, log_path, path, stamp, buckets)
     _drop_replaced(spark, path)
-    return todo
+    return stamps[same:]
+
+
+def _mark(spark: SparkSession, log_path: str, path: str, load: str) -> str:
+    """Mark of a load: it names the files of the log partition that were applied."""
+    names = sorted(name.rsplit("/", 1)[1] for name, _ in parts_of(spark, f"{log_path}/{log.PARTITION}={load}"))
+    return f"{path}/_loads/load={load}/{hashlib.md5(' '.join(names).encode()).hexdigest()}"
+
+
+def _holds(spark: SparkSession, log_path: str, path: str, load: str) -> bool:
+    return path_exists(spark, _mark(spark, log_path, path, load))
 
 
 def _forget(spark: SparkSession, path: str, load: str) -> None:
@@ -142,9 +163,9 @@ def _forget(spark: SparkSession, path: str, load: str) -> None:
 
 
 def _drop_replaced(spark: SparkSession, path: str) -> None:
-    """Open buckets that neither the newest load nor the one before it reads."""
+    """Remove open buckets that none of the ``KEPT`` newest loads reads."""
     known = loads(spark, path)
-    used = {f for upto in known[-2:] for f in _open_folders(spark, path, upto)}
+    used = {f for upto in known[-KEPT:] for f in _open_folders(spark, path, upto)}
     for load in partition_values(spark, f"{path}/state={OPEN}", "load"):
         for bucket in partition_values(spark, f"{path}/state={OPEN}/load={load}", "bucket"):
             one = f"{path}/state={OPEN}/load={load}/bucket={bucket}"
