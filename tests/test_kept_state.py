@@ -89,6 +89,30 @@ def test_a_full_sieve_only_costs_time(spark, tmp_path, monkeypatch):
     assert narrow_replay(SPEC, files, listed, std.BY).exceptAll(whole).isEmpty()
 
 
+def test_a_download_is_compared_by_its_kept_fingerprint(spark, tmp_path, monkeypatch):
+    import register as reg
+
+    from ledgerline import catalog
+    from ledgerline.plans.loads import Ledger
+    from ledgerline.sources import prints
+
+    spec, ledger = catalog.FIELD, Ledger(spark, str(tmp_path))
+    first = reg.export(ledger.root, spec, 1)
+    ledger.arrived(spec, "full", first)
+    taken = []
+    original = prints.fingerprint
+    monkeypatch.setattr(prints, "fingerprint", lambda *a: taken.append(1) or original(*a))
+    moved = [[("09.09.2031" if n in spec.volatile else v) for n, v in zip(spec.names, line)] for line in reversed(reg.lines(spec, 1))]
+    same = reg.put(ledger.root, spec, 2, reg.header(spec), moved)
+    assert not ledger.is_new_content(spec, same) and len(taken) == 2
+    assert ledger.is_new_content(spec, reg.export(ledger.root, spec, 3)) and len(taken) == 3
+    turned = reg.put(ledger.root, spec, 4, reg.header(spec)[::-1], [line[::-1] for line in reg.lines(spec, 1)])
+    assert ledger.is_new_content(spec, turned)
+    # equal fingerprints alone prove nothing: the rows decide
+    monkeypatch.setattr(prints, "of", lambda *a: ())
+    assert ledger.is_new_content(spec, reg.raw_file(ledger.root, spec, 3)) and not ledger.is_new_content(spec, same)
+
+
 def test_a_repeated_key_fails_a_step(spark):
     twice = frame_of(spark, [{(1, "p"): (1.0, "n", 0)}]).select(*SPEC.names)
     with pytest.raises(Exception, match="duplicate key"):
