@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.hooks import PRODUCTION, hook_columns
 from ledgerline.operators import versions
+from ledgerline.operators.checks import CheckError, ranked
 from ledgerline.operators.flatten import Structure, flatten
 from ledgerline.plans.history_queries import (
+    latest_sql,
     log_sql,
     series_sql,
     stable_log_sql,
@@ -227,6 +232,73 @@ def empty_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return std.journal(spark, ledger.std_root, spec).select("year_month", "stamp", "rows", *counted)
 
 
+FLAGGED = DatasetSpec(
+    "star", "flagged", (Column("c_custkey", "bigint"), Column("c_name"), Column("active", "boolean", "flag")), ("c_custkey",)
+)
+
+
+@query(
+    "fail_fast",
+    """WITH t AS (
+        SELECT CASE WHEN c_custkey % 10 = 3 THEN c_custkey - 1 ELSE c_custkey END AS id, c_name, c_custkey % 7 AS k, substr(c_mktsegment, 1, 1) AS s FROM customer)
+    SELECT 'flags' AS check_name, 'active=' || s AS message FROM t WHERE k = 0 GROUP BY s
+    UNION ALL SELECT 'keys', c_name FROM t WHERE id % 10 = 4
+    UNION ALL SELECT 'unique', id::VARCHAR FROM t GROUP BY id HAVING count(*) > 1""",
+)
+def fail_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three exports of which each breaks one rule: the load fails, nothing is published, every violation is in the error's table."""
+    root = work_folder(spark, "fail-fast")
+    number = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        F.when(number % 10 == 3, number - 1).otherwise(number).alias("c_custkey"), "c_name",
+        F.substring("c_mktsegment", 1, 1).alias("segment"), (number % 7).alias("k"),
+    )
+    exports = {
+        "flags": rows.select("c_custkey", "c_name", F.when(F.col("k") == 0, F.col("segment")).otherwise("Y").alias("active")),
+        "keys": rows.select(F.when(F.col("c_custkey") % 10 != 4, F.col("c_custkey")).alias("c_custkey"), "c_name", F.lit("N").alias("active")),
+        "unique": rows.select("c_custkey", "c_name", F.lit("N").alias("active")),
+    }
+    spec = replace(FLAGGED, key_labels=("c_name",))
+    united = None
+    for (name, export), (_, month, stamp) in zip(exports.items(), snapshot_dates(len(exports)), strict=True):
+        path = f"{raw.folder(f'{root}/raw', spec)}/year_month={month}/{spec.table}_{stamp}.csv"
+        export.write.option("header", True).csv(path)
+        try:
+            std.standardize(spark, spec, f"{root}/std", path)
+        except CheckError as e:
+            found = spark.read.parquet(e.path).select(F.lit(name).alias("check_name"), "message")
+            united = found if united is None else united.unionByName(found)
+    if not std.scan(spark, f"{root}/std", spec).isEmpty():
+        raise AssertionError("a broken export was published")
+    return united
+
+
+@query(
+    "newest_per_group",
+    """SELECT o_custkey, o_orderkey, o_orderdate::DATE AS ordered FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1""",
+)
+def newest_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest order of each customer: first row of a group in an order, one row per group and task in the shuffle."""
+    orders = table(spark, sf_dir, "orders")
+    found = ranked(orders, ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
+    return found.select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("ordered"))
+
+
+@query("as_of_in_another_zone", latest_sql(ORDERS, upto=f"{time_sql('load_no')} <= TIMESTAMP '2026-02-01 10:00:00'"))
+def as_of_in_another_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows at an instant, asked in a session of another time zone: instants do not depend on it."""
+    path, zone = work_folder(spark, "zone"), spark.conf.get("spark.sql.session.timeZone")
+    log = replay(spark, sf_dir, ORDERS)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        at = datetime(2026, 2, 1, 10, tzinfo=timezone.utc)
+        versions.as_of(ORDERS.spec, log, at).write.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return spark.read.parquet(path)
+
+
 @query("resumed_loads", stable_log_sql(CUSTOMER, 3))
 def resumed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads: one breaks off before Std, one after it, one runs through.
