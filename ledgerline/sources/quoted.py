@@ -177,7 +177,7 @@ def records(spark: SparkSession, paths: list[str]) -> DataFrame:
     path, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     lines = spark.read.option("lineSep", "\n").text(paths).select(path.alias("path"), block.alias("block"), "value")
     folder = work_folder(spark, "raw-records")
-    lines.mapInArrow(_pieces, _PIECES).write.parquet(f"{folder}/pieces")
+    lines.mapInArrow(_pieces, _PIECES).write.option("compression", "zstd").parquet(f"{folder}/pieces")
     pieces = spark.read.schema(_PIECES).parquet(f"{folder}/pieces")
     _states(pieces).write.parquet(f"{folder}/states")
     states = spark.read.parquet(f"{folder}/states")  # its size is that of its file: one short row per split
