@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerline.spec import DatasetSpec, columns
 
+# Names, types, keys and volatile columns of the six datasets.
 SOURCE = "no_sodir"
 
 FIELD_PRODUCTION_MONTHLY = DatasetSpec(

@@ -51,6 +51,9 @@ def folder(root: str, spec: DatasetSpec) -> str:
     return f"{root.rstrip('/')}/{spec.source}/{spec.table}"
 
 
+# The path format below and the message of a path that is none.
+
+
 def std_name(root: str, source: str, table: str, month: Column, stamp: Column) -> Column:
     return F.concat(
         F.lit(f"{root.rstrip('/')}/{source}/{table}/year_month="),
