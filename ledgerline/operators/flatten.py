@@ -30,7 +30,7 @@ def parse_json(rows: DataFrame, column: str, schema: str, carry: tuple[str, ...]
     )
 
 
-def _key_text(names: list[Column]) -> Column:
+def key_text(names: list[Column]) -> Column:
     return F.concat_ws(UNIT_SEPARATOR, *[n.cast("string") for n in names])
 
 
@@ -49,7 +49,7 @@ def flatten(rows: DataFrame, top: Structure) -> dict[str, DataFrame]:
 
 def _children(rows: DataFrame, parent: Structure, key: list[Column], out: dict[str, DataFrame]) -> None:
     for field_name, child in parent.children.items():
-        exploded = rows.select(_key_text(key).alias(PARENT), F.explode(F.col(field_name)).alias("element"))
+        exploded = rows.select(key_text(key).alias(PARENT), F.explode(F.col(field_name)).alias("element"))
         nested = exploded.select(
             PARENT, *[F.col(f"element.`{n}`").alias(n) for n in (*child.keys, *child.fields, *child.children)]
         )

@@ -10,6 +10,7 @@ from ledgerline.functions.parse import blank_to_null, snapshot_path, typed
 from ledgerline.operators import checks
 from ledgerline.operators.equality import row_differences
 from ledgerline.operators.flatten import Structure, flatten, parse_json
+from ledgerline.operators.variants import flatten_undeclared, found_shape, structure_drift
 from ledgerline.plans.registry import query
 from ledgerline.plans.series import ORDERS, snapshot_rows, table
 from ledgerline.plans.history_queries import series_sql
@@ -768,3 +769,85 @@ def flatten_nested_child(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_nested_grandchild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(event_records(spark, sf_dir), DOCUMENT)["events_marks_notes"]
+
+
+# Nested records without a declared structure ---------------------------------
+
+NUMBER = "(props->>'$.k')::BIGINT"
+
+
+def event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON texts whose fields depend on their type.
+
+    All have a number and a user; purchases have two items with tags, errors a code that is a
+    number or a text, sign-ups a field that is always null.
+    """
+    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    tags = F.transform(F.sequence(F.lit(0), (F.col("k") % 3).cast("int")), lambda i: F.concat(F.lit("t"), i.cast("string")))
+    item = F.struct(F.concat(F.lit("s"), F.col("k").cast("string")).alias("sku"), (F.col("k") % 7).alias("n"), tags.alias("tags"))
+    bare = F.struct(F.lit("bare").alias("sku"), F.col("k").alias("n"), F.lit(None).cast("array<string>").alias("tags"))
+    code = F.when(F.col("k") % 2 == 0, F.col("k").cast("string")).otherwise(F.format_string('"c%d"', "k"))
+    parts = [
+        F.format_string('"k":%d,"user":{"id":%d,"even":%s}', "k", "user_id", (F.col("user_id") % 2 == 0).cast("string")),
+        F.when(F.col("event_type") == "purchase", F.concat(F.lit('"items":'), F.to_json(F.array(item, bare)))),
+        F.when(F.col("event_type") == "error", F.concat(F.lit('"code":'), code)),
+        F.when(F.col("event_type") == "signup", F.lit('"code":null')),
+    ]
+    return events.select("event_id", "event_type", F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("record"))
+
+
+def undeclared(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    texts = event_texts(spark, sf_dir)
+    return flatten_undeclared(texts, ("event_id",), "record", found_shape(texts, "record", "events"))
+
+
+@query(
+    "flatten_undeclared",
+    f"""SELECT event_id, {NUMBER} AS k, user_id AS "user.id", user_id % 2 = 0 AS "user.even",
+        CASE WHEN event_type = 'error' THEN CASE WHEN {NUMBER} % 2 = 0 THEN {NUMBER}::VARCHAR ELSE '"c' || {NUMBER} || '"' END END AS code
+    FROM events""",
+)
+def flatten_top_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top table of records whose structure is found in the data."""
+    return undeclared(spark, sf_dir)["events"]
+
+
+ITEMS_SQL = f"""items AS (
+        SELECT event_id::VARCHAR AS parent, position::INTEGER AS position, {NUMBER} AS k FROM (
+            SELECT event_id, props, unnest([0, 1]) AS position FROM events WHERE event_type = 'purchase'))"""
+
+
+@query(
+    "flatten_undeclared_child",
+    f"""WITH {ITEMS_SQL}
+    SELECT parent, position, CASE position WHEN 0 THEN 's' || k ELSE 'bare' END AS sku, CASE position WHEN 0 THEN k % 7 ELSE k END AS n FROM items""",
+)
+def flatten_child_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objects of an array, by position."""
+    return undeclared(spark, sf_dir)["events_items"]
+
+
+@query(
+    "flatten_undeclared_values",
+    f"""WITH {ITEMS_SQL}
+    SELECT parent || chr(31) || '0' AS parent, i::INTEGER AS position, 't' || i AS value
+    FROM (SELECT parent, unnest(range(0, k % 3 + 1)) AS i FROM items WHERE position = 0)""",
+)
+def flatten_values_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain values of an array within an array."""
+    return undeclared(spark, sf_dir)["events_items_tags"]
+
+
+@query(
+    "structure_drift",
+    """SELECT DISTINCT event_type, CASE event_type
+        WHEN 'purchase' THEN 'missing: events.code; unexpected: events_items_tags.value'
+        WHEN 'error' THEN 'missing: events_items.n, events_items.sku'
+        WHEN 'signup' THEN 'missing: events_items.n, events_items.sku'
+        ELSE 'missing: events.code, events_items.n, events_items.sku' END AS drift
+    FROM events""",
+)
+def drift_of_structures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each type of event lacks of the declared structures, and has besides."""
+    declared = {"events": ("k", "code", "user.id", "user.even"), "events_items": ("sku", "n")}
+    return structure_drift(event_texts(spark, sf_dir), "event_type", "record", "events", declared)
