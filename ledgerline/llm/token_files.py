@@ -4,13 +4,17 @@ Format, below one folder:
 
 * ``shards/NNNNNN.bin``: raw ids, little-endian, two bytes each where the vocabulary allows it, the
   documents of one range of keys in ascending order, each with an end id;
-* ``index/NNNNNN.npz``: for the keys of one hash bucket a minimal perfect hash function (levels of
-  bits; a key's slot is the rank of its first bit that no other key of the bucket shares), and per
-  slot a 32-bit fingerprint of the key, shard, offset and number of ids. Keys are not stored: a key
-  that was never written has a foreign fingerprint, up to one in 2^32;
+* ``index/NNNNNN.mph``: for the keys of one hash bucket a minimal perfect hash function (levels of
+  bits; a key's slot is the rank of its first bit that no other key of the bucket shares). After a
+  head of ``HEAD`` bytes that holds the sizes of the levels, the bits lie in blocks of 64 bytes that
+  begin with the number of set bits before them, so one block gives a bit and its rank. Then one
+  entry of fixed width per slot: a 32-bit fingerprint of the key, shard, offset and number of ids.
+  Keys are not stored: a key that was never written has a foreign fingerprint, up to one in 2^32;
 * ``manifest``: Parquet, one row per shard: ids before it, ids, documents, and the number of buckets.
 
-A lookup hashes the key, opens one index file, reads one slot and one range of bytes.
+A lookup hashes the key, opens one index file and reads its head, one block of each level that the
+key passes (1.7 on average, whatever the number of keys), one entry, and one range of a shard. Keys that are looked up
+together share the pages of ``PAGE`` bytes they need, and no page is read twice.
 
 Files are written under a name of the attempt and renamed, so a task that runs twice leaves what it
 would have left once. The folder must be one that all executors see; pyarrow opens it by its address
@@ -23,7 +27,6 @@ alone. An empty table leaves an empty index and manifest.
 
 from __future__ import annotations
 
-import io
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,6 +45,13 @@ from ledgerline.llm.library_bpe import library
 GAMMA, PRINT_SEED = 2, 0x9E3779B9
 #: Keys of an index file on average, at most; bounds what a task of the index holds at once.
 BUCKET_KEYS = 1 << 18
+#: An index file: bytes of its head (number of keys, then bits of each level), of a block and of a page read at once.
+HEAD, BLOCK, PAGE = 1024, 64, 1 << 13
+#: Bits of a block after the 4 bytes of its rank.
+BLOCK_BITS = (BLOCK - 4) * 8
+#: Keys that are looked up in one step.
+LOOKUPS = 1 << 14
+SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("start", "<u8"), ("n", "<u8")])
 ENTRY = "key bigint, nth bigint, shard int, start bigint, n bigint"
 
 
@@ -53,7 +63,7 @@ def _opened(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _named(folder: str, kind: str, number: int) -> str:
-    return f"{folder}/{kind}/{number:06d}.{'bin' if kind == 'shards' else 'npz'}"
+    return f"{folder}/{kind}/{number:06d}.{'bin' if kind == 'shards' else 'mph'}"
 
 
 class _Part:
@@ -101,17 +111,81 @@ def build_index(key: np.ndarray, nth: np.ndarray) -> tuple[list[np.ndarray], np.
     return levels, slots
 
 
-def find_slots(levels: list[np.ndarray], key: np.ndarray, nth: np.ndarray) -> np.ndarray:
-    """The slot of each key; -1 for some of those that are not in the index, any slot for others."""
-    slots, base = np.full(len(key), -1, dtype=np.int64), 0
-    left = np.arange(len(key))
-    for number, bits in enumerate(levels):
-        place = (_hashed(key[left], nth[left], number) % np.uint64(len(bits))).astype(np.int64)
-        here = bits[place]
-        slots[left[here]] = base + np.cumsum(bits)[place[here]] - 1
-        base += int(bits.sum())
-        left = left[~here]
-    return slots
+def packed_index(levels: list[np.ndarray], slots: np.ndarray, entries: np.ndarray) -> bytes:
+    """The bytes of an index file; *entries* (of ``SLOT``) are in the order of the keys."""
+    head = np.zeros(HEAD // 8, dtype="<u8")
+    if len(levels) >= len(head):
+        raise ValueError(f"an index of {len(slots)} keys takes {len(levels)} levels: its keys are not distinct")
+    head[0], head[1 : len(levels) + 1] = len(slots), [len(bits) for bits in levels]
+    out, rank = [head.tobytes()], 0
+    for bits in levels:
+        count = -(-len(bits) // BLOCK_BITS)
+        padded = np.zeros(count * BLOCK_BITS, dtype=bool)
+        padded[: len(bits)] = bits
+        padded = padded.reshape(count, BLOCK_BITS)
+        set_ = padded.sum(axis=1)
+        blocks = np.empty((count, BLOCK), dtype=np.uint8)
+        blocks[:, :4] = (rank + np.cumsum(set_) - set_).astype("<u4").view(np.uint8).reshape(count, 4)
+        blocks[:, 4:] = np.packbits(padded, axis=1, bitorder="little")
+        out.append(blocks.tobytes())
+        rank += int(set_.sum())
+    ordered = np.empty(len(slots), dtype=SLOT)
+    ordered[slots] = entries
+    return b"".join([*out, ordered.tobytes()])
+
+
+class IndexFile:
+    """An index file that is read by pages, each once, and only those that are needed."""
+
+    def __init__(self, stream, size: int):
+        self.stream, self.size, self.bytes_read = stream, size, 0
+        self.pages: dict[int, np.ndarray] = {}
+        head = self._records(np.zeros(1, dtype=np.int64), HEAD)[0].view("<u8")
+        self.keys = int(head[0])
+        self.levels = [int(x) for x in head[1:] if x]
+        self.blocks = [-(-bits // BLOCK_BITS) for bits in self.levels]
+
+    def _records(self, at: np.ndarray, width: int) -> np.ndarray:
+        """The *width* bytes from each offset *at*, one row each."""
+        first, last = at // PAGE, (at + width - 1) // PAGE
+        needed = np.unique(np.concatenate([first, last]))
+        missing = [int(p) for p in needed if int(p) not in self.pages]
+        runs = np.split(missing, np.flatnonzero(np.diff(missing) != 1) + 1) if missing else []
+        for run in runs:
+            low, high = int(run[0]) * PAGE, min((int(run[-1]) + 1) * PAGE, self.size)
+            data = np.frombuffer(self.stream.read_at(high - low, low), dtype=np.uint8)
+            self.bytes_read += len(data)
+            for k, page in enumerate(run):
+                own = np.zeros(PAGE, dtype=np.uint8)
+                part = data[k * PAGE : (k + 1) * PAGE]
+                own[: len(part)] = part
+                self.pages[int(page)] = own
+        # Both pages of a record that crosses are needed, so they stand side by side.
+        joined = np.concatenate([self.pages[int(p)] for p in needed])
+        base = np.searchsorted(needed, first) * PAGE + at % PAGE
+        return joined[base[:, None] + np.arange(width)]
+
+    def find(self, key: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the keys are in the index, and their entries."""
+        slots = np.full(len(key), -1, dtype=np.int64)
+        left, before = np.arange(len(key)), 0
+        for number, (size, count) in enumerate(zip(self.levels, self.blocks)):
+            if not len(left):
+                break
+            place = (_hashed(key[left], nth[left], number) % np.uint64(size)).astype(np.int64)
+            block, bit = np.divmod(place, BLOCK_BITS)
+            rows = self._records(HEAD + (before + block) * BLOCK, BLOCK)
+            here = (rows[np.arange(len(left)), 4 + bit // 8] >> (bit % 8).astype(np.uint8)) & 1 == 1
+            rank = np.ascontiguousarray(rows[:, :4]).view("<u4")[:, 0].astype(np.int64)
+            bits = np.unpackbits(rows[here, 4:], axis=1, bitorder="little")
+            inside = (bits * (np.arange(BLOCK_BITS) < bit[here, None])).sum(axis=1)
+            slots[left[here]] = rank[here] + inside
+            left, before = left[~here], before + count
+        found = np.flatnonzero(slots >= 0)
+        at = HEAD + sum(self.blocks) * BLOCK + slots[found] * SLOT.itemsize
+        entries = self._records(at, SLOT.itemsize).reshape(-1).view(SLOT) if len(found) else np.empty(0, dtype=SLOT)
+        good = entries["print"] == _prints(key[found], nth[found])
+        return found[good], entries[good]
 
 
 def _prints(key: np.ndarray, nth: np.ndarray) -> np.ndarray:
@@ -195,18 +269,12 @@ def write(
         for bucket, run in _runs(batches, 0):
             key, nth = _key_parts(run.column("key").combine_chunks(), run.column("nth").combine_chunks())
             levels, slots = build_index(key, nth)
-            order = np.empty(len(slots), dtype=np.int64)
-            order[slots] = np.arange(len(slots))
-            buffer = io.BytesIO()
-            np.savez(
-                buffer,
-                sizes=np.array([len(x) for x in levels]),
-                bits=np.packbits(np.concatenate(levels)),
-                prints=_prints(key, nth)[order],
-                **{c: run.column(c).to_numpy()[order] for c in ("shard", "start", "n")},
-            )
+            entries = np.empty(len(slots), dtype=SLOT)
+            entries["print"] = _prints(key, nth)
+            for c in ("shard", "start", "n"):
+                entries[c] = run.column(c).to_numpy()
             part = _Part(_named(folder, "index", bucket))
-            part.stream.write(buffer.getvalue())
+            part.stream.write(packed_index(levels, slots, entries))
             part.close()
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([len(slots)], pa.int64())], names=["bucket", "keys"])
 
@@ -229,22 +297,18 @@ def look_up(keys: DataFrame, folder: str) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, run in _runs(batches, 0):
             fs, path = _opened(_named(folder, "index", bucket))
-            if fs.get_file_info(path).type != pafs.FileType.File:
+            if (info := fs.get_file_info(path)).type != pafs.FileType.File:
                 continue  # no key of this bucket was written
-            with fs.open_input_stream(path) as stream:
-                stored = np.load(io.BytesIO(stream.read()))
-                bits = np.unpackbits(stored["bits"], count=int(stored["sizes"].sum())).astype(bool)
-                levels = np.split(bits, np.cumsum(stored["sizes"])[:-1])
-                columns = [stored[c] for c in ("shard", "start", "n")]
-                prints = stored["prints"]
             keys_, nths = run.column("key").combine_chunks(), run.column("nth").combine_chunks()
             key, nth = _key_parts(keys_, nths)
-            slots = find_slots(levels, key, nth)
-            good = slots >= 0
-            good[good] = prints[slots[good]] == _prints(key, nth)[good]
-            kept, at = pa.array(np.flatnonzero(good)), slots[good]
-            arrays = [keys_.take(kept), nths.take(kept), *[pa.array(c[at]) for c in columns]]
-            yield pa.RecordBatch.from_arrays(arrays, names=["key", "nth", "shard", "start", "n"])
+            with fs.open_input_file(path) as stream:
+                index = IndexFile(stream, info.size)
+                for a in range(0, len(key), LOOKUPS):
+                    kept, at = index.find(key[a : a + LOOKUPS], nth[a : a + LOOKUPS])
+                    rows = pa.array(kept + a)
+                    arrays = [keys_.take(rows), nths.take(rows)]
+                    arrays += [pa.array(at[c].astype(kind)) for c, kind in (("shard", "i4"), ("start", "i8"), ("n", "i8"))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["key", "nth", "shard", "start", "n"])
 
     typed = keys.select(F.col("key").cast("bigint").alias("key"), F.col("nth").cast("bigint").alias("nth"))
     bucketed = typed.select(_bucket(buckets).alias("bucket"), "key", "nth")

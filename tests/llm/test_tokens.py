@@ -1,11 +1,13 @@
 """BPE, token files and token counts against the library and brute force."""
 
+import functools
 import hashlib
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -128,8 +130,45 @@ def test_perfect_hash_is_minimal(n):
     nth = np.zeros(n, dtype=np.uint64)
     levels, slots = token_files.build_index(key, nth)
     assert sorted(slots.tolist()) == list(range(n))
-    if n:
-        assert token_files.find_slots(levels, key, nth).tolist() == slots.tolist()
+    index, entries = opened_index(key, nth)
+    kept, found = index.find(key, nth)
+    assert kept.tolist() == list(range(n)) and found.tolist() == entries.tolist()
+    kept, _ = index.find(key + np.uint64(1 << 63), nth)
+    assert not len(kept)
+
+
+def opened_index(key, nth):
+    levels, slots = token_files.build_index(key, nth)
+    entries = np.zeros(len(key), dtype=token_files.SLOT)
+    entries["print"], entries["start"] = token_files._prints(key, nth), np.arange(len(key)) * 7
+    packed = token_files.packed_index(levels, slots, entries)
+    return token_files.IndexFile(pa.BufferReader(packed), len(packed)), entries
+
+
+@pytest.mark.parametrize("n", [20_000, 200_000])
+def test_a_lookup_reads_a_few_pages_whatever_the_number_of_keys(n):
+    key, nth = np.arange(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
+    reads = []
+    for k in range(0, n, n // 50):
+        index, entries = opened_index_of(key, nth)
+        kept, found = index.find(key[k : k + 1], nth[k : k + 1])
+        assert found["start"].tolist() == [7 * k]
+        reads.append(index.bytes_read // token_files.PAGE)
+    assert sum(reads) / len(reads) < 6 and max(reads) <= 16  # head, a block for each level, an entry
+
+
+@functools.lru_cache(1)
+def _packed(n):
+    key, nth = np.arange(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
+    levels, slots = token_files.build_index(key, nth)
+    entries = np.zeros(n, dtype=token_files.SLOT)
+    entries["print"], entries["start"] = token_files._prints(key, nth), np.arange(n) * 7
+    return token_files.packed_index(levels, slots, entries), entries
+
+
+def opened_index_of(key, nth):
+    packed, entries = _packed(len(key))
+    return token_files.IndexFile(pa.BufferReader(packed), len(packed)), entries
 
 
 def test_token_counts_match_brute_force(spark):
