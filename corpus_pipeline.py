@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import content_dedup, mixing, ppm_language, prefix_bpe, simhash
-from ledgerline.llm.common import table, written
+from ledgerline.llm.common import table, unused, with_file_order, written
 from ledgerline.llm.queries import REST_WEIGHT, WEIGHTS
 from ledgerline.session import configure
 
@@ -36,15 +36,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mix."""
+    """All documents, in the order of the mix; the files they are written to keep it."""
     configure(spark)
     return mixing.in_mixed_order(docs, WEIGHTS, REST_WEIGHT)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document, and its position in the mix."""
     configure(spark)
-    return prefix_bpe.encode_documents(docs)
+    [place] = unused(docs, "_place")
+    return prefix_bpe.encode_documents(with_file_order(docs, place), place_col=place)
 
 
 STAGES = [("language", language), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix", mix), ("encode", encode)]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import work_folder
@@ -32,6 +33,27 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_file_order(docs: DataFrame, name: str) -> DataFrame:
+    """*docs* with the place of each row (*name*, from 0) in the files it is read from: files by their
+    number, rows as they lie in them.
+
+    A sorted table that was written keeps its order in its files, but a scan deals them out by size; the
+    place has to be asked for. What is no scan of files is written first.
+    """
+    try:
+        meta = docs.metadataColumn("_metadata")
+    except AnalysisException:
+        docs = written(docs, "file-order")
+        meta = docs.metadataColumn("_metadata")
+    file, start = unused(docs, "_file", "_start")
+    rows = docs.select("*", meta["file_path"].alias(file), meta["row_index"].alias(name))
+    part = F.regexp_extract(F.col(file), r"part-(\d+)[^/]*$", 1)
+    order = Window.orderBy(F.lpad(part, 20, "0"), file)  # one row per file
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = rows.groupBy(file).agg((F.max(name) + 1).alias("n")).select(file, before.alias(start))
+    return rows.join(F.broadcast(starts), file).withColumn(name, F.col(start) + F.col(name)).select(*[column(c) for c in docs.columns], name)
+
+
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator], schema: str) -> DataFrame:
     """``mapInArrow`` with batches of bounded size."""
     conf = df.sparkSession.conf

@@ -186,15 +186,19 @@ def encoder(name: str) -> PrefixBPE:
 
 
 def encode_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "word_bpe_49k.json", keep_ids: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "word_bpe_49k.json", keep_ids: bool = False,
+    place_col: str | None = None,
 ) -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256 of each row; with *keep_ids* also the ids and the decoded text."""
+    """id, n_tokens, ids_sha256, decoded_sha256 of each row; with *keep_ids* also the ids and the decoded text,
+    with *place_col* that bigint column as ``position``."""
     kind = docs.select(column(id_col)).schema[0].dataType.simpleString()
-    rows = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(column(id_col).alias("id"), F.coalesce(column(text_col), F.lit("")).cast("binary").alias("text"), *([column(place_col)] if place_col else []))
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
     if keep_ids:
         schema, names = f"{schema}, ids array<int>, decoded string", [*names, "ids", "decoded"]
+    if place_col:
+        schema, names = f"{schema}, position bigint", [*names, "position"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocabulary)
@@ -212,6 +216,8 @@ def encode_documents(
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decodings, pa.string())]
             if keep_ids:
                 columns += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
+            if place_col:
+                columns.append(batch.column(2))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_batches(rows, run, schema)

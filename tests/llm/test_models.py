@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from ledgerline.llm import mixing, permutation_index, ppm_language, prefix_bpe, simhash
 from ledgerline.llm.common import ascii_lower, unused
-from ledgerline.llm.queries import QUERIES, WEIGHTS
+from ledgerline.llm.queries import QUERIES, REST_WEIGHT, WEIGHTS
 
 SF = "/root/testdata/sf0.001"
 
@@ -258,3 +258,20 @@ def test_stages_take_bad_rows(spark):
 
 def test_production_weights_are_positive():
     assert min(WEIGHTS.values()) > 0 and len(corpus_pipeline.STAGES) == 5
+
+
+def test_the_mix_decides_the_positions_of_the_pipeline(spark, tmp_path):
+    """Positions that come out of encode are those of the mix, though files are read by size."""
+    docs = spark.createDataFrame(
+        [(i, "word " * (1 + i % 7 * 40), "en", f"src{i % 4}", 5) for i in range(400)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    )
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = stages["mix"](spark, docs, SF)
+    path = str(tmp_path / "mixed")
+    mixed.write.option("maxRecordsPerFile", 37).parquet(path)
+    found = stages["encode"](spark, spark.read.parquet(path), SF).collect()
+    want = {r.doc_id: r.p for r in mixing.mix(docs, WEIGHTS, REST_WEIGHT, names=("b", "s", "p")).collect()}
+    assert {r.doc_id: r.position for r in found} == want and sorted(want.values()) == list(range(400))
+    plain = stages["encode"](spark, docs, SF).collect()
+    assert {r.doc_id: r.position for r in plain} != want
