@@ -8,6 +8,8 @@ entries of that key, however the keys are distributed.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,24 +30,39 @@ from ledgerline.spec import (
 
 _DIGEST = "__digest"
 
+#: Rows of a history that a task sorts on average, at most: some 150 MB, replay and versions together.
+ROWS_A_TASK = 250_000
+
 #: Which values a deletion row repeats.
 FROM_OBSERVATION = "observation"
 FROM_LOG = "log"
 
 
+def by_key(keys: tuple[str, ...], rows: DataFrame, count: int | None = None) -> DataFrame:
+    """*rows* shuffled by key, for tasks that sort at most *count* rows in all.
+
+    Adaptive execution gathers tasks by their compressed bytes, and the rows of a history compress well, so
+    that a task can come to hold many times what was aimed at. A known count sets the width instead.
+    """
+    if count is None or count <= ROWS_A_TASK:
+        return rows.repartition(*keys)
+    width = max(ceil(count / ROWS_A_TASK), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(width, *keys)
+
+
 def with_digest(spec: DatasetSpec, rows: DataFrame) -> DataFrame:
     """Add the digest of the columns that are neither key nor volatile."""
     return rows.withColumn(STD_MD5, row_digest(spec.schema, spec.digest_columns))
 
 
-def _state(spec: DatasetSpec, log: DataFrame) -> DataFrame:
+def _state(spec: DatasetSpec, log: DataFrame, count: int | None = None) -> DataFrame:
     """Live keys of the log, placed before the first snapshot (sequence number 0).
 
     One row per key leaves the log side, and one per key and task crosses its shuffle, however long
     the history is. A key whose last row is a deletion counts as never seen: its return is a change
     either way.
     """
-    return current_state(spec, log).where(~F.col(LOG_DELETED)).select(*spec.names, F.lit(0).alias(SEQ))
+    return current_state(spec, log, count).where(~F.col(LOG_DELETED)).select(*spec.names, F.lit(0).alias(SEQ))
 
 
 def _marked(spec: DatasetSpec, rows: DataFrame, seeded: bool) -> DataFrame:
@@ -97,6 +114,8 @@ def capture_changes(
     by: tuple[str, ...] = BY_FILE,
     deletions_repeat: str | None = None,
     clustered: bool = False,
+    count: int | None = None,
+    log_count: int | None = None,
 ) -> DataFrame:
     """Change rows of *observations* on top of what *log* already holds.
 
@@ -111,7 +130,8 @@ def capture_changes(
 
     Only key, data and the snapshot number cross the one shuffle; names and
     times of snapshots are joined to the emitted rows. Rows that are already
-    *clustered* (tables bucketed on the key) cross none.
+    *clustered* (tables bucketed on the key) cross none. *count* and *log_count*, the rows of
+    both sides if they are known, set the number of tasks.
     """
     repeat = deletions_repeat or (FROM_OBSERVATION if log is None else FROM_LOG)
     if repeat not in (FROM_OBSERVATION, FROM_LOG):
@@ -120,12 +140,13 @@ def capture_changes(
     numbered = numbered_snapshots(observations, snapshots, by)
     rows = observations.join(numbered.select(*by, SEQ), list(by)).select(*spec.names, SEQ)
     if log is not None:
-        rows = rows.unionByName(_state(spec, log))
+        rows = rows.unionByName(_state(spec, log, log_count))
+        count = None if count is None or log_count is None else count + log_count
 
     # the window below reuses this partitioning; the digest is computed on its
     # far side, spread evenly and not part of the shuffle
     if not clustered:
-        rows = rows.repartition(*spec.keys)
+        rows = by_key(spec.keys, rows, count)
     rows = _marked(spec, rows.withColumn(_DIGEST, F.unhex(row_digest(spec.schema, spec.digest_columns))), log is not None)
     key, seq = Window.partitionBy(*spec.keys).orderBy(SEQ), F.col(SEQ)
 
@@ -167,9 +188,10 @@ def full_replay(
     snapshots: DataFrame | None = None,
     by: tuple[str, ...] = BY_FILE,
     clustered: bool = False,
+    count: int | None = None,
 ) -> DataFrame:
     """Change log of every snapshot, oldest first, in one pass."""
-    return capture_changes(spec, observations, snapshots=snapshots, by=by, clustered=clustered)
+    return capture_changes(spec, observations, snapshots=snapshots, by=by, clustered=clustered, count=count)
 
 
 def incremental_changes(
@@ -225,12 +247,15 @@ def step_changes(
     )
 
 
-def current_state(spec: DatasetSpec, log: DataFrame) -> DataFrame:
+def current_state(spec: DatasetSpec, log: DataFrame, count: int | None = None) -> DataFrame:
     """Latest log row of every key, deletions included.
 
     ``row_number() = 1`` lets Spark keep one row per key and task before the
-    shuffle.
+    shuffle. A log of *count* rows that is too large for that, since the tasks that read it would
+    sort whole files, is shuffled first.
     """
+    if count is not None and count > ROWS_A_TASK:
+        log = by_key(spec.keys, log, count)
     newest_first = Window.partitionBy(*spec.keys).orderBy(
         F.col(LOG_TIMESTAMP).desc(), F.col(LOG_SOURCEFILE).desc(), F.col(LOG_DELETED).desc()
     )

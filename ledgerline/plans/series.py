@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.changes import full_replay
+from ledgerline.operators.changes import by_key, full_replay
 from ledgerline.operators.snapshots import local_relation
 from ledgerline.spec import STD_FILENAME, STD_TIMESTAMP, Column, DatasetSpec
 
@@ -170,14 +170,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def snapshot_rows(spark: SparkSession, sf_dir: str, series: Series, count: int = 4) -> DataFrame:
+def snapshot_rows(spark: SparkSession, sf_dir: str, series: Series, count: int = 4, by_keys: bool = False) -> DataFrame:
     """Rows of every snapshot, ``seq`` from 1 to *count*.
 
     A row is present iff ``(number * 7 + seq * 3) % 11 <> 0``; its moving value
     rises by ``floor((number % 13 + seq) / 5)``; ``sync_no`` is the volatile
-    column.
+    column. With *by_keys* the table is shuffled by key before its rows become those of *count* snapshots,
+    into tasks that can sort them.
     """
     base = table(spark, sf_dir, series.base)
+    if by_keys:
+        base = by_key(series.spec.keys, base, base.count() * count)  # counted from footers
     if series.aggregates:
         base = base.groupBy(*series.spec.keys).agg(*[F.expr(e) for e in series.aggregates])
     seq = F.explode(F.array(*[F.lit(i) for i in range(1, count + 1)])).alias("seq")
@@ -197,5 +200,5 @@ def snapshot_rows(spark: SparkSession, sf_dir: str, series: Series, count: int =
 
 def replay(spark: SparkSession, sf_dir: str, series: Series, count: int = 4) -> DataFrame:
     """Change log of the series."""
-    rows = snapshot_rows(spark, sf_dir, series, count)
-    return full_replay(series.spec, rows, snapshot_list(spark, series, count), BY)
+    rows = snapshot_rows(spark, sf_dir, series, count, by_keys=True)
+    return full_replay(series.spec, rows, snapshot_list(spark, series, count), BY, clustered=True)
