@@ -209,6 +209,19 @@ def _resolved(
     )
 
 
+def keyed_messages(found: DataFrame, own: list[tuple[Column, Column]], groups: Column) -> DataFrame:
+    """(id, kind, key, message) of the rules of *own* that rows break, and of the *groups* they are in.
+
+    No key is null: null keys would all meet in one task of a join. A group without a key is none, and
+    a broken rule has its message for key.
+    """
+    alone = [
+        F.when(condition, F.struct(F.lit("own").alias("kind"), F.xxhash64(message).cast("string").alias("key"), message.alias("message")))
+        for condition, message in own
+    ]
+    return found.select("id", F.explode(F.concat(F.array(*alone), groups)).alias("one")).where("one.key is not null").select("id", "one.*")
+
+
 def hook_problems(
     hooks: DataFrame, datasets_: DataFrame, sources_: DataFrame, concepts: DataFrame, domains: DataFrame
 ) -> DataFrame:
@@ -250,10 +263,6 @@ def hook_problems(
     groups = F.array(*[
         F.struct(F.lit(kind).alias("kind"), key.alias("key"), message.alias("message")) for kind, (key, message) in shared.items()
     ])
-    none = F.lit(None).cast("string")
-    alone = [
-        F.when(condition, F.struct(none.alias("kind"), none.alias("key"), message.alias("message"))) for condition, message in own
-    ]
     # a reference that occurs twice among its parents gives a hook several rows; groups count hooks
     found = _resolved(hooks, datasets_, sources_, concepts, domains)
     members = hooks.select("id", F.array(*[
@@ -262,8 +271,8 @@ def hook_problems(
     counted = members.select(F.inline("groups")).groupBy("kind", "key").count().where("count > 1").select("kind", "key")
     mixed = mixed_values(found.where("key_set is not null"), ["key_set"], "hook_encoding")
     bad = counted.unionByName(mixed.select(F.lit("key_set").alias("kind"), F.col("key_set").alias("key")))
-    named = found.select("id", F.explode(F.concat(F.array(*alone), groups)).alias("one")).where("one is not null").select("id", "one.*")
-    kept = named.join(bad.withColumn("bad", F.lit(True)), ["kind", "key"], "left").where("kind is null or bad")
+    named = keyed_messages(found, own, groups)
+    kept = named.join(bad.withColumn("bad", F.lit(True)), ["kind", "key"], "left").where("kind = 'own' or bad")
     return kept.select("id", "message").distinct()
 
 

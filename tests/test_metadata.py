@@ -187,3 +187,11 @@ def test_hooks_come_in_id_order(spark):
     assert bytes(prod["HK_A"]).hex() == "0101010000000000000005" and bytes(prod["HK_B"]).hex() == "01010200000005"
     with pytest.raises(ValueError):
         hook_columns(hooks, "test")
+
+
+def test_broken_rules_do_not_meet_in_one_task(spark):
+    found = spark.range(50).selectExpr("id", "if(id % 5 = 0, string(id), null) as set_")
+    groups = F.array(F.struct(F.lit("set").alias("kind"), F.col("set_").alias("key"), F.lit("m").alias("message")))
+    rows = metadata.keyed_messages(found, [(F.col("id") > 9, F.concat(F.lit("bad "), F.col("id")))], groups).collect()
+    assert len({r.key for r in rows if r.kind == "own"}) == 40 and sorted(r.id for r in rows if r.kind == "set") == list(range(0, 50, 5))
+    assert all(r.key is not None for r in rows)
