@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from ledgerline.functions.hooks import (
 )
 from ledgerline.operators import versions
 from ledgerline.operators.changes import (
+    ROWS_A_TASK,
     capture_changes,
     current_state,
     empty_log,
@@ -36,6 +38,7 @@ from ledgerline.plans.series import (
     ORDERS,
     Series,
     replay,
+    snapshot_dates,
     snapshot_list,
     snapshot_rows,
     table,
@@ -534,7 +537,9 @@ def maintained_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _wide_std(spark: SparkSession, sf_dir: str) -> str:
     """Std snapshots of whole documents."""
     root = work_folder(spark, "wide-std")
-    std_layer.write(DOCUMENTS.spec, _partitioned(spark, sf_dir, DOCUMENTS), f"{root}/std")
+    rows = snapshot_rows(spark, sf_dir, DOCUMENTS, SNAPSHOTS)
+    for seq, month, stamp in snapshot_dates(SNAPSHOTS):
+        std_layer.write_snapshot(DOCUMENTS.spec, rows.where(F.col("seq") == seq), f"{root}/std", month, stamp)
     return f"{root}/std"
 
 
@@ -546,34 +551,35 @@ def narrow_replay_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stable_log(narrow_replay(DOCUMENTS.spec, files, listed, std_layer.BY), DOCUMENTS)
 
 
-def _buckets(spark: SparkSession) -> int:
-    """As many buckets as the cluster shuffles into: the width follows the data's scale."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _buckets(spark: SparkSession, sf_dir: str, series: Series) -> int:
+    """As many buckets as the cluster shuffles into, and so many that a task can sort the history of one."""
+    rows = table(spark, sf_dir, series.base).count() * SNAPSHOTS  # footers only
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(rows / ROWS_A_TASK))
 
 
-def _clustered_std(spark: SparkSession, sf_dir: str, series: Series) -> tuple[str, str]:
-    """A Std table bucketed on the key, and the name prefix of its snapshots."""
-    root = work_folder(spark, "clustered")
+def _clustered_std(spark: SparkSession, sf_dir: str, series: Series) -> tuple[str, str, int]:
+    """A Std table bucketed on the key, the name prefix of its snapshots, and its buckets."""
+    root, buckets = work_folder(spark, "clustered"), _buckets(spark, sf_dir, series)
     name = "ledgerline_" + root.rsplit("-", 1)[-1]
-    tables.create_std(spark, name, series.spec, _buckets(spark), f"{root}/std")
-    tables.write_clustered(_partitioned(spark, sf_dir, series), name, series.spec.keys, _buckets(spark))
-    return name, "std"
+    tables.create_std(spark, name, series.spec, buckets, f"{root}/std")
+    tables.write_clustered(_partitioned(spark, sf_dir, series), name, series.spec.keys, buckets)
+    return name, "std", buckets
 
 
 @query("clustered_replay", f"WITH {log_sql(ORDERS)} SELECT {log_columns_sql(ORDERS)} FROM log")
 def clustered_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full replay of a bucketed Std table: no shuffle of the history."""
-    name, root = _clustered_std(spark, sf_dir, ORDERS)
+    name, root, _ = _clustered_std(spark, sf_dir, ORDERS)
     return tables.replay_table(spark, name, root, ORDERS.spec)
 
 
 @query("clustered_step", step_sql(ORDERS))
 def clustered_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last snapshot against a bucketed log of the ones before."""
-    name, root = _clustered_std(spark, sf_dir, ORDERS)
+    name, root, buckets = _clustered_std(spark, sf_dir, ORDERS)
     log, last = f"{name}_log", f"2026{SNAPSHOTS:02d}01_1000"
-    tables.create_log(spark, log, ORDERS.spec, _buckets(spark), f"{work_folder(spark, 'clustered-log')}/log")
-    tables.write_log(replay(spark, sf_dir, ORDERS, SNAPSHOTS - 1), log, ORDERS.spec, _buckets(spark))
+    tables.create_log(spark, log, ORDERS.spec, buckets, f"{work_folder(spark, 'clustered-log')}/log")
+    tables.write_log(replay(spark, sf_dir, ORDERS, SNAPSHOTS - 1), log, ORDERS.spec, buckets)
     return tables.step_table(spark, name, log, root, ORDERS.spec, last)
 
 

@@ -111,6 +111,12 @@ def write(spec: DatasetSpec, rows: DataFrame, root: str) -> None:
     )
 
 
+def write_snapshot(spec: DatasetSpec, rows: DataFrame, root: str, month: str, stamp: str) -> None:
+    """Publish the typed rows of one snapshot in files as large as the tasks they come in: neither shuffled nor sorted."""
+    path = f"{folder(root, spec)}/year_month={month}/snapshot={stamp}"
+    rows.select(*spec.names).write.mode("overwrite").parquet(path)
+
+
 def publish(spec: DatasetSpec, rows: DataFrame, root: str, raw_file: str) -> None:
     """Publish one table's typed rows of a raw file; keys must be there and unique."""
     check_unique(spec, rows, raw_file, folder(root, spec))
