@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import versions
+from ledgerline.operators.changes import by_key
 from ledgerline.sources import log
 from ledgerline.sources.files import partition_values, parts_of, path_exists, remove_folder, touch
 from ledgerline.spec import (
@@ -109,7 +110,7 @@ def build(spark: SparkSession, spec: DatasetSpec, log_path: str, path: str, upto
     """The frame of all loads *upto* in one pass; each interval lies under the load that closed it."""
     rows = spark.read.schema(spec.log_schema).parquet(*[f"{log_path}/{log.PARTITION}={s}" for s in upto])
     load = F.coalesce(time_stamp(F.col(EFFECTIVE_TO)), F.lit(upto[-1]))
-    _write(versions.frame(spec, rows), spec, path, load, buckets)
+    _write(versions.frame(spec, by_key(spec.keys, rows, rows.count())), spec, path, load, buckets)
     for stamp in upto:
         touch(spark, _mark(spark, log_path, path, stamp))
 

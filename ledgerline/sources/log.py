@@ -95,9 +95,8 @@ def rebuild(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec) ->
 
     The version before stays for readers that have begun; what is older goes.
     """
-    rows = full_replay(
-        spec, std.scan(spark, std_root, spec), std.snapshots(spark, std_root, spec), std.BY
-    )
+    found = std.scan(spark, std_root, spec)
+    rows = full_replay(spec, found, std.snapshots(spark, std_root, spec), std.BY, count=found.count())  # footers only
     before, known = current_version(spark, root, spec), versions(spark, root, spec)
     _write(rows, version_folder(root, spec, max(known, default=0) + 1), "static")
     for number in known:
@@ -134,7 +133,8 @@ def keep_state(spark: SparkSession, path: str, spec: DatasetSpec, tail_loads: in
     loads, kept = partition_values(spark, path, PARTITION), kept_states(spark, path)
     if sum(not kept or s > kept[-1] for s in loads) <= tail_loads:
         return
-    rows = current_state(spec, state_rows(spark, path, spec, loads)).where(~F.col(LOG_DELETED))
+    held = state_rows(spark, path, spec, loads)
+    rows = current_state(spec, held, held.count()).where(~F.col(LOG_DELETED))
     rows.write.mode("overwrite").parquet(_state_folder(path, loads[-1]))
     for old in kept[:-1]:
         remove_folder(spark, _state_folder(path, old))
@@ -162,12 +162,9 @@ def changes_of(
     for stale in kept_states(spark, path):
         if stale >= taken[0]:  # it holds rows of a load that is about to be written again
             remove_folder(spark, _state_folder(path, stale))
+    found, held = std.scan(spark, std_root, spec).where(F.col(PARTITION).isin(taken)), state_rows(spark, path, spec, others)
     changes = capture_changes(
-        spec,
-        std.scan(spark, std_root, spec).where(F.col(PARTITION).isin(taken)),
-        log=state_rows(spark, path, spec, others),
-        snapshots=listed,
-        by=std.BY,
+        spec, found, log=held, snapshots=listed, by=std.BY, count=found.count(), log_count=held.count()
     )
     return changes, taken
 

@@ -4,9 +4,12 @@ import re
 from collections import Counter
 
 import pytest
+from test_changes import SPEC, fold, random_snapshots
+from test_kept_state import rows_of, stamp, std_snapshots
 
 from ledgerline.operators import changes, versions
 from ledgerline.plans.series import LINEITEM, ORDERS, replay, table
+from ledgerline.sources import log
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,3 +32,15 @@ def test_a_replay_has_a_bounded_number_of_rows_a_task(spark, monkeypatch, series
         # one shuffle, of the table and not of its snapshots, which windows and aggregates share
         assert exchanges(df) == [-(-rows // 500)]
         assert Counter(df.collect()) == rows_wanted
+
+
+def test_loads_of_many_rows_are_the_same(spark, monkeypatch, tmp_path):
+    """Loads, the state kept beside them and a rebuild, with counted rows above what one task takes."""
+    monkeypatch.setattr(changes, "ROWS_A_TASK", 3)
+    root, snapshots = str(tmp_path), random_snapshots(5, 3)
+    std_snapshots(spark, f"{root}/std", snapshots)
+    for i in range(3):
+        log.load(spark, f"{root}/lake", f"{root}/std", SPEC, [stamp(i)], tail_loads=0)
+    loaded = log.read(spark, f"{root}/lake", SPEC)
+    assert rows_of(loaded) == sorted(map(repr, fold(snapshots)))
+    assert exchanges(changes.current_state(SPEC, loaded, 30)) == [10]
