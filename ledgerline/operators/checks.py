@@ -183,7 +183,12 @@ def check_rows(spec: DatasetSpec, rows: DataFrame, file: str, folder: str | None
 
 
 def check_unique(spec: DatasetSpec, rows: DataFrame, file: str, folder: str | None = None) -> None:
-    """A business key occurs once in a snapshot."""
+    """A business key occurs once in a snapshot.
+
+    Equal keys have equal hashes, so keys are gathered, and compared, only if a hash occurs twice.
+    """
+    if duplicates(rows.select(F.xxhash64(*[F.col(f"`{k}`") for k in spec.keys]).alias("h")), ["h"]).isEmpty():
+        return
     twice = duplicates(rows, list(spec.keys)).select(
         F.concat_ws("/", *[F.col(f"`{k}`").cast("string") for k in spec.keys]).alias("m")
     )

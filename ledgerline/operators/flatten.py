@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.digest import UNIT_SEPARATOR
+from ledgerline.session import work_folder
 
 PARENT = "parent"
 
@@ -30,6 +31,13 @@ def parse_json(rows: DataFrame, column: str, schema: str, carry: tuple[str, ...]
     )
 
 
+def kept_records(rows: DataFrame) -> DataFrame:
+    """*rows* from a table below the work folder, so that their text is parsed once for all tables, checks and writes."""
+    folder = work_folder(rows.sparkSession, "records")
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def key_text(names: list[Column]) -> Column:
     return F.concat_ws(UNIT_SEPARATOR, *[n.cast("string") for n in names])
 

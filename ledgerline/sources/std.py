@@ -96,14 +96,14 @@ def typed_rows(spec: DatasetSpec, rows: DataFrame) -> DataFrame:
     return rows.select(*out, file_month(path).alias("year_month"), file_stamp(path).alias("snapshot"))
 
 
-def write(spec: DatasetSpec, rows: DataFrame, root: str) -> None:
+def write(spec: DatasetSpec, rows: DataFrame, root: str, gather: bool = True) -> None:
     """Publish typed rows; only the partitions they belong to are replaced.
 
     REBALANCE gathers the rows of a snapshot into files of a good size, so a task that holds several
     snapshots does not leave a file in each.
     """
     (
-        rows.hint("rebalance", *[F.col(c) for c in BY])
+        (rows.hint("rebalance", *[F.col(c) for c in BY]) if gather else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*BY)
@@ -122,7 +122,8 @@ def publish(spec: DatasetSpec, rows: DataFrame, root: str, raw_file: str) -> Non
     check_unique(spec, rows, raw_file, folder(root, spec))
     stamped = rows.select(*spec.names, F.lit(raw_file).alias(RAW_FILENAME))
     path = F.col(RAW_FILENAME)
-    write(spec, stamped.select(*spec.names, file_month(path).alias("year_month"), file_stamp(path).alias("snapshot")), root)
+    stamped = stamped.select(*spec.names, file_month(path).alias("year_month"), file_stamp(path).alias("snapshot"))
+    write(spec, stamped, root, gather=False)  # one snapshot: its files are as large as the tasks its rows come in
     spark, (month, stamp) = rows.sparkSession, snapshot_of(raw_file)
     there = scan(spark, root, spec).where((F.col("year_month") == month) & (F.col("snapshot") == stamp))
     note_conversions(spark, root, spec, {(month, stamp): there.count()})  # footers only
