@@ -110,7 +110,7 @@ def _plain(spark: SparkSession, paths: list[str], names: tuple[str, ...], option
 
 
 def _split_quoted(spark: SparkSession, paths: list[str], names: tuple[str, ...], options: dict[str, str], line_end: str) -> DataFrame:
-    found = quoted.records(spark, paths)
+    found = quoted.records(spark, paths, split_bytes(spark))
     text = F.col("text")
     if line_end == "\r\n":
         text = F.when(text.endswith("\r"), F.substring(text, 1, F.length(text) - 1)).otherwise(text)

@@ -130,3 +130,24 @@ def test_heads_read_no_body(spark, tmp_path, monkeypatch):
 @pytest.mark.parametrize("line, outside, inside", [("", False, True), ('a,"b', True, False), ('"', True, False), ('"a"', False, False), ('a","b', True, True), ('x"', False, False), ('""', False, True), ('"""', True, False), ('a""b', False, True)])
 def test_states_of_a_line(line, outside, inside):
     assert quoted.ends_inside(line, False) is outside and quoted.ends_inside(line, True) is inside
+
+
+def test_records_inside_a_split_are_not_written(spark, tmp_path, small_splits, monkeypatch):
+    """Only what an end of a split cuts is kept; the rest is read again in the same splits, whatever the session says then."""
+    rows = [["id", "text"], *[[str(i), f'say "{i}"\r\n, twice'] for i in range(400)]]
+    path = tmp_path / "t.csv"
+    path.write_bytes(text_of(rows, "\n").encode())
+    kept = str(tmp_path / "kept")
+    monkeypatch.setattr(quoted, "work_folder", lambda s, purpose: kept)
+    found = raw.read_split(spark, [str(path)], ("id", "text"))
+    pieces = spark.read.parquet(f"{kept}/pieces").where(F.col("kind") != quoted.END)
+    assert pieces.where(F.col("kind") == quoted.WHOLE).isEmpty()
+    assert found.sparkSession is spark
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    assert sorted(tuple(r) for r in found.select("id", "text").collect()) == sorted(map(tuple, rows[1:]))
+
+
+def test_a_split_that_was_not_read_before_fails():
+    batch = quoted.pa.RecordBatch.from_pydict({"path": ["p"], "block": [307], "state": quoted.pa.array([None], quoted.pa.int32()), "value": ["a,b"]})
+    with pytest.raises(ValueError, match="307"):
+        list(quoted._whole(iter([batch])))
