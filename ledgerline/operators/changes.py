@@ -128,8 +128,8 @@ def capture_changes(
     A deletion row repeats the last observation of the key in a full replay
     and the last log row otherwise; *deletions_repeat* overrides that.
 
-    Only key, data and the snapshot number cross the one shuffle; names and
-    times of snapshots are joined to the emitted rows. Rows that are already
+    Only key, data and the snapshot number cross the one shuffle, and of the log what tells its
+    newest rows; names and times of snapshots are joined to the emitted rows. Rows that are already
     *clustered* (tables bucketed on the key) cross none. *count* and *log_count*, the rows of
     both sides if they are known, set the number of tasks.
     """
@@ -140,8 +140,11 @@ def capture_changes(
     numbered = numbered_snapshots(observations, snapshots, by)
     rows = observations.join(numbered.select(*by, SEQ), list(by)).select(*spec.names, SEQ)
     if log is not None:
-        rows = rows.unionByName(_state(spec, log, log_count))
         count = None if count is None or log_count is None else count + log_count
+        if not clustered and count is not None and count > ROWS_A_TASK:
+            # both sides into the same partitions, so that the state is not shuffled once more with the snapshots
+            rows, log, log_count, clustered = by_key(spec.keys, rows, count), by_key(spec.keys, log, count), None, True
+        rows = rows.unionByName(_state(spec, log, log_count))
 
     # the window below reuses this partitioning; the digest is computed on its
     # far side, spread evenly and not part of the shuffle

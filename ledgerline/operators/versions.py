@@ -23,12 +23,13 @@ from ledgerline.spec import (
 _LINEAGE = (LOG_MD5, LOG_DATASOURCE, LOG_SOURCEFILE)
 
 
-def frame(spec: DatasetSpec, log: DataFrame, hooks: list[Column] | None = None) -> DataFrame:
+def frame(spec: DatasetSpec, log: DataFrame, hooks: list[Column] | None = None, slot: str | None = None) -> DataFrame:
     """One version per log row: hooks, data, lineage, half-open interval.
 
-    The open end is NULL, the same instant in every time zone.
+    The open end is NULL, the same instant in every time zone. The log may be shuffled by a column *slot* that
+    follows from the key.
     """
-    versions = Window.partitionBy(*spec.keys).orderBy(LOG_TIMESTAMP)
+    versions = Window.partitionBy(*([slot] if slot else []), *spec.keys).orderBy(LOG_TIMESTAMP)
     return log.select(
         *(hooks or []),
         *spec.names,

@@ -448,15 +448,21 @@ def hook_join_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Layers and stream ---------------------------------------------------------
 
 
-def _partitioned(spark: SparkSession, sf_dir: str, series: Series) -> DataFrame:
+def _partitioned(spark: SparkSession, sf_dir: str, series: Series, by_keys: bool = False) -> DataFrame:
     month = F.lpad(F.col("seq").cast("string"), 2, "0")
-    return snapshot_rows(spark, sf_dir, series, SNAPSHOTS).select(
+    return snapshot_rows(spark, sf_dir, series, SNAPSHOTS, by_keys).select(
         *series.spec.names,
         F.concat(F.lit("2026-"), month).alias("year_month"),
         F.concat(F.lit("2026"), month, F.lit("01_1000")).alias("snapshot"),
     )
 
 
+def _write_std(spark: SparkSession, sf_dir: str, series: Series, root: str) -> None:
+    """Std snapshots from the tasks that aggregate the table: its rows are shuffled, those of its snapshots are not."""
+    rows = _partitioned(spark, sf_dir, series, by_keys=True).sortWithinPartitions(*std_layer.BY, *series.spec.keys)
+    std_layer.write(series.spec, rows, root, gather=False)
+
+
 def _stable_log(log: DataFrame, series: Series) -> DataFrame:
     return log.drop("___Lake_sourcefile", *series.spec.volatile)
 
@@ -505,7 +511,7 @@ def kept_state_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load after load, each on top of the kept state and at most one load after it; the last one twice."""
     root = work_folder(spark, "kept-state")
     spec = LINEITEM.spec
-    std_layer.write(spec, _partitioned(spark, sf_dir, LINEITEM), f"{root}/std")
+    _write_std(spark, sf_dir, LINEITEM, f"{root}/std")
     for seq in (*range(1, SNAPSHOTS + 1), SNAPSHOTS):
         log_layer.load(spark, f"{root}/lake", f"{root}/std", spec, [f"2026{seq:02d}01_1000"], tail_loads=1)
     return _stable_log(log_layer.read(spark, f"{root}/lake", spec), LINEITEM)
@@ -525,7 +531,7 @@ def stable_frame_sql(series: Series) -> str:
 def maintained_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A frame kept beside the log: built after two loads, then brought up to date by each, the last one twice."""
     root, spec = work_folder(spark, "maintained-frame"), LINEITEM.spec
-    std_layer.write(spec, _partitioned(spark, sf_dir, LINEITEM), f"{root}/std")
+    _write_std(spark, sf_dir, LINEITEM, f"{root}/std")
     for seq in range(1, SNAPSHOTS + 1):
         log_layer.load(spark, f"{root}/lake", f"{root}/std", spec, [f"2026{seq:02d}01_1000"])
         if seq > 1:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +47,28 @@ def local_session(cores: int | str = 8, memory: str = "12g", shuffle_partitions:
     return spark
 
 
+#: Spark's switch for it; an older Spark does not know it and keeps the files until its cleaner runs.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of each job in here go as soon as the job ends.
+
+    They would stay until the driver collects its garbage, those of load after load side by side. For writes: what
+    is written needs them no more. Rows that are to be computed again must not be collected in here.
+    """
+    before = spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE)
+        else:
+            spark.conf.set(_FREE, before)
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 

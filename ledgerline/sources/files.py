@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+#: Codec of the layers' files. A digest as text takes half its letters under it; Spark's default codec leaves it as it is.
+CODEC = "zstd"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

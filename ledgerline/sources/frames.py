@@ -14,19 +14,22 @@ broke off writes the same folders again from the load before it, so readers neve
 from __future__ import annotations
 
 import hashlib
+from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import versions
-from ledgerline.operators.changes import by_key
+from ledgerline.operators.changes import ROWS_A_TASK
+from ledgerline.session import shuffles_freed
 from ledgerline.sources import log
-from ledgerline.sources.files import partition_values, parts_of, path_exists, remove_folder, touch
+from ledgerline.sources.files import CODEC, partition_values, parts_of, path_exists, remove_folder, touch
 from ledgerline.spec import (
     EFFECTIVE_FROM,
     EFFECTIVE_TO,
     IS_DELETED,
+    LOG_MD5,
     LOG_TIMESTAMP,
     DatasetSpec,
 )
@@ -81,12 +84,28 @@ def _rows(spark: SparkSession, spec: DatasetSpec, path: str, folders: list[str])
     return spark.read.schema(schema(spec)).option("basePath", path).parquet(*folders).select(*schema(spec).names)
 
 
+def _slots(rows: DataFrame, spec: DatasetSpec, buckets: int, count: int) -> DataFrame:
+    """*rows*, *count* in all, shuffled by key into tasks (``__slot``) that hold whole buckets or a part of one.
+
+    Such a task can sort its rows by key and write them too, to one file of each bucket, so they are shuffled once.
+    Digests cross as bytes.
+    """
+    width = max(ceil(count / ROWS_A_TASK), min(rows.sparkSession.sparkContext.defaultParallelism, buckets))
+    slot = F.pmod(_bucket(spec, buckets), F.lit(width))
+    if width > buckets:
+        width = ceil(width / buckets) * buckets  # pmod by it tells the bucket, too
+        slot = _bucket(spec, width)
+    return rows.withColumns({"__slot": slot, LOG_MD5: F.unhex(LOG_MD5)}).repartitionById(width, F.col("__slot"))
+
+
 def _write(rows: DataFrame, spec: DatasetSpec, path: str, load: Column, buckets: int) -> None:
     state = F.when(F.col(EFFECTIVE_TO).isNull(), OPEN).otherwise(CLOSED)
+    rows = rows.withColumn(LOG_MD5, F.lower(F.hex(LOG_MD5))).select(*schema(spec).names)
     rows = rows.withColumns({"state": state, "load": load, "bucket": _bucket(spec, buckets)})
-    rows.hint("rebalance", F.col("state"), F.col("load"), F.col("bucket")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("state", "load", "bucket").parquet(path)
+    with shuffles_freed(rows.sparkSession):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC).partitionBy(
+            "state", "load", "bucket"
+        ).parquet(path)
 
 
 def apply_load(spark: SparkSession, spec: DatasetSpec, log_path: str, path: str, load: str, buckets: int = BUCKETS) -> None:
@@ -100,9 +119,15 @@ def apply_load(spark: SparkSession, spec: DatasetSpec, log_path: str, path: str,
     )
     touched = {str(r["bucket"]) for r in changes.select(_bucket(spec, buckets).alias("bucket")).distinct().collect()}  # at most *buckets*
     held = _rows(spark, spec, path, _open_folders(spark, path, before[-1], touched) if before else [])
-    until = changes.select(*spec.keys, F.col(LOG_TIMESTAMP).alias("__until"))
-    held = held.join(until, list(spec.keys), "left").withColumn(EFFECTIVE_TO, F.col("__until")).select(*schema(spec).names)
-    _write(held.unionByName(new), spec, path, F.lit(load), buckets)
+    count = held.count() + changes.count()  # footers only
+    rows = held.withColumn("__new", F.lit(False)).unionByName(new.withColumn("__new", F.lit(True)))
+    # a key has at most one change in a load, which closes its open version
+    until = F.max(F.when(F.col("__new"), F.col(EFFECTIVE_FROM))).over(Window.partitionBy("__slot", *spec.keys))
+    closing = ~F.col("__new")
+    for k in spec.keys:
+        closing = closing & F.col(f"`{k}`").isNotNull()
+    rows = _slots(rows, spec, buckets, count).withColumn(EFFECTIVE_TO, F.when(closing, until))
+    _write(rows, spec, path, F.lit(load), buckets)
     touch(spark, _mark(spark, log_path, path, load))
 
 
@@ -110,7 +135,8 @@ def build(spark: SparkSession, spec: DatasetSpec, log_path: str, path: str, upto
     """The frame of all loads *upto* in one pass; each interval lies under the load that closed it."""
     rows = spark.read.schema(spec.log_schema).parquet(*[f"{log_path}/{log.PARTITION}={s}" for s in upto])
     load = F.coalesce(time_stamp(F.col(EFFECTIVE_TO)), F.lit(upto[-1]))
-    _write(versions.frame(spec, by_key(spec.keys, rows, rows.count())), spec, path, load, buckets)
+    rows = _slots(rows, spec, buckets, rows.count())  # counted from footers
+    _write(versions.frame(spec, rows, slot="__slot"), spec, path, load, buckets)
     for stamp in upto:
         touch(spark, _mark(spark, log_path, path, stamp))
 

@@ -26,9 +26,10 @@ from pyspark.sql import types as T
 from ledgerline.functions.parse import time_stamp
 from ledgerline.operators.changes import capture_changes, current_state, full_replay
 from ledgerline.operators.snapshots import local_copy
+from ledgerline.session import shuffles_freed
 from ledgerline.sources import std
-from ledgerline.sources.files import parquet, parts_of, partition_values, path_exists, remove_folder
-from ledgerline.spec import LOG_DELETED, LOG_TIMESTAMP, DatasetSpec
+from ledgerline.sources.files import CODEC, parquet, parts_of, partition_values, path_exists, remove_folder
+from ledgerline.spec import LOG_DELETED, LOG_MD5, LOG_TIMESTAMP, DatasetSpec
 
 PARTITION = "snapshot"
 VERSION = "version"
@@ -78,16 +79,22 @@ def until(spark: SparkSession, root: str, spec: DatasetSpec, instant: datetime)
     return scan(spark, root, spec).where(F.col(PARTITION) <= time_stamp(F.lit(instant))).drop(PARTITION)
 
 
-def _write(rows: DataFrame, path: str, overwrite: str) -> None:
+def _write(rows: DataFrame, path: str, overwrite: str, gather: bool = True) -> None:
     """Write by load. REBALANCE gathers a load's rows into few files and splits
-    a load that is far larger than the others (the first holds every key)."""
-    rows = rows.withColumn(PARTITION, time_stamp(F.col(LOG_TIMESTAMP))).hint("rebalance", F.col(PARTITION))
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
+    a load that is far larger than the others; digests cross its shuffle as bytes. The first load holds every
+    key: its tasks are as large as its files should be, so it need not be gathered."""
+    rows = rows.withColumn(PARTITION, time_stamp(F.col(LOG_TIMESTAMP)))
+    if gather:
+        rows = rows.withColumn(LOG_MD5, F.unhex(LOG_MD5)).hint("rebalance", F.col(PARTITION))
+        rows = rows.withColumn(LOG_MD5, F.lower(F.hex(LOG_MD5)))
+    with shuffles_freed(rows.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", overwrite)
+            .option("compression", CODEC)
+            .partitionBy(PARTITION)
+            .parquet(path)
+        )
 
 
 def rebuild(spark: SparkSession, root: str, std_root: str, spec: DatasetSpec) -> None:
@@ -184,7 +191,8 @@ def load(
     path = current_folder(spark, root, spec)
     held = {s: _files(spark, path, s) for s in taken if path_exists(spark, f"{path}/{PARTITION}={s}")}
     begun = current_version(spark, root, spec) is not None
-    _write(changes, path, "dynamic" if begun else "static")  # only a static write leaves the success mark
+    # only a static write leaves the success mark
+    _write(changes, path, "dynamic" if begun else "static", gather=begun or len(taken) > 1)
     for stamp, before in held.items():
         if _files(spark, path, stamp) == before:  # a snapshot that no longer changes anything wrote no file
             remove_folder(spark, f"{path}/{PARTITION}={stamp}")

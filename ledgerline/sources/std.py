@@ -25,9 +25,9 @@ from ledgerline.functions.parse import MONTH_PATTERN, STAMP_PATTERN, file_month,
 from ledgerline.operators.checks import CheckError, check_rows, check_schema, check_unique
 from ledgerline.operators.changes import with_digest
 from ledgerline.operators.snapshots import local_relation
-from ledgerline.session import work_folder
+from ledgerline.session import shuffles_freed, work_folder
 from ledgerline.sources import raw
-from ledgerline.sources.files import listing, parquet, path_exists
+from ledgerline.sources.files import CODEC, listing, parquet, path_exists
 from ledgerline.spec import (
     BLANK,
     FLAG,
@@ -102,13 +102,15 @@ def write(spec: DatasetSpec, rows: DataFrame, root: str, gather: bool = True) ->
     REBALANCE gathers the rows of a snapshot into files of a good size, so a task that holds several
     snapshots does not leave a file in each.
     """
-    (
-        (rows.hint("rebalance", *[F.col(c) for c in BY]) if gather else rows)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*BY)
-        .parquet(folder(root, spec))
-    )
+    with shuffles_freed(rows.sparkSession):
+        (
+            (rows.hint("rebalance", *[F.col(c) for c in BY]) if gather else rows)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", CODEC)
+            .partitionBy(*BY)
+            .parquet(folder(root, spec))
+        )
 
 
 def write_snapshot(spec: DatasetSpec, rows: DataFrame, root: str, month: str, stamp: str) -> None:
