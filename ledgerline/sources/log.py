@@ -10,8 +10,8 @@ Beside the loads of a version lies the kept state,
 
     version=<n>/_state/upto=<YYYYMMDD_HHmm>/part-*.parquet
 
-the last log row of every live key after that load. A load reads it and the loads after it (the tail), not
-the log: its cost follows the snapshot, however long the history is. When the tail has grown to more than
+the last log row of every live key after that load, without its digest, which follows from the rest. A load reads it
+and the loads after it (the tail), not the log: its cost follows the snapshot, however long the history is. When the tail has grown to more than
 ``TAIL_LOADS`` loads, a new state is written; the one before stays until the next.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.digest import row_digest
 from ledgerline.functions.parse import time_stamp
 from ledgerline.operators.changes import capture_changes, current_state, full_replay
 from ledgerline.operators.snapshots import local_copy
@@ -124,10 +125,17 @@ def kept_states(spark: SparkSession, path: str) -> list[str]:
     return [s for s in found if path_exists(spark, f"{_state_folder(path, s)}/_SUCCESS")]
 
 
+def _state_schema(spec: DatasetSpec) -> T.StructType:
+    return T.StructType([f for f in spec.log_schema.fields if f.name != LOG_MD5])
+
+
 def state_rows(spark: SparkSession, path: str, spec: DatasetSpec, loads: list[str]) -> DataFrame:
     """Log rows of which the latest per key are the state after *loads*: the kept state and the loads after it."""
     kept = [s for s in kept_states(spark, path) if loads and s <= loads[-1]]
-    base = parquet(spark, _state_folder(path, kept[-1]), spec.log_schema) if kept else None
+    base = None
+    if kept:
+        base = parquet(spark, _state_folder(path, kept[-1]), _state_schema(spec))
+        base = base.withColumn(LOG_MD5, row_digest(spec.schema, spec.digest_columns)).select(*spec.log_schema.names)
     tail = [f"{path}/{PARTITION}={s}" for s in loads if not kept or s > kept[-1]]
     if tail:
         rows = spark.read.schema(spec.log_schema).parquet(*tail)
@@ -140,9 +148,10 @@ def keep_state(spark: SparkSession, path: str, spec: DatasetSpec, tail_loads: in
     loads, kept = partition_values(spark, path, PARTITION), kept_states(spark, path)
     if sum(not kept or s > kept[-1] for s in loads) <= tail_loads:
         return
-    held = state_rows(spark, path, spec, loads)
+    held = state_rows(spark, path, spec, loads).drop(LOG_MD5)
     rows = current_state(spec, held, held.count()).where(~F.col(LOG_DELETED))
-    rows.write.mode("overwrite").parquet(_state_folder(path, loads[-1]))
+    with shuffles_freed(spark):
+        rows.write.mode("overwrite").option("compression", CODEC).parquet(_state_folder(path, loads[-1]))
     for old in kept[:-1]:
         remove_folder(spark, _state_folder(path, old))
 

@@ -56,6 +56,18 @@ def test_the_state_is_shuffled_once_beside_the_snapshots(spark, tmp_path, monkey
     assert exchanges(step) == [wide, wide]  # one for each side, none for both together
 
 
+def test_a_kept_state_gives_back_the_digests_of_the_log(spark, tmp_path):
+    root = str(tmp_path)
+    loaded(spark, root, random_snapshots(43, 4), tail_loads=0)
+    path = log.version_folder(f"{root}/lake", SPEC, 1)
+    stamps = log.partition_values(spark, path, log.PARTITION)
+    assert "___Lake_md5" not in spark.read.parquet(f"{path}/_state/upto={stamps[-1]}").columns
+    state = log.state_rows(spark, path, SPEC, stamps)
+    want = changes.current_state(SPEC, log.read(spark, f"{root}/lake", SPEC)).where("not ___Lake_isdeleted")
+    assert state.columns == want.columns and not want.isEmpty()
+    assert state.exceptAll(want).isEmpty() and want.exceptAll(state).isEmpty()
+
+
 @pytest.mark.parametrize("rows_a_task, buckets", [(1, 2), (2, 3), (250_000, 64)])
 def test_a_frame_is_shuffled_once_and_its_buckets_stay_whole(spark, tmp_path, monkeypatch, rows_a_task, buckets):
     monkeypatch.setattr(frames, "ROWS_A_TASK", rows_a_task)
